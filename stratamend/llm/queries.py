@@ -9,15 +9,89 @@ def _read(spark: SparkSession, sf_dir: str, table: str = "documents") -> DataFra
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def op2_line_dedup_cuckoo(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .linefilter import common_lines_dropped
+
+    return common_lines_dropped(_read(spark, sf_dir), min_docs=10).select("doc_id", "n_lines", "n_dropped", "kept_sha256")
+
+
+def op4_exact_dedup_block_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .blocknames import exact_groups
+
+    return exact_groups(_read(spark, sf_dir))
+
+
 def op5_difference_cover_anchors(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .anchors import repeated_windows
 
     return repeated_windows(_read(spark, sf_dir), window=50).select("doc_id", "n_words", "n_removed", "kept_sha256")
 
 
+def op10_decontamination_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .winnow import contamination
+
+    found = contamination(_read(spark, sf_dir), _read(spark, sf_dir, "benchmark"), window=13)
+    return found.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
+
+
+_LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+_SQL = {
+    "op2_line_dedup_cuckoo": r"""
+WITH split AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS parts FROM documents),
+lines AS (SELECT doc_id, unnest(parts) AS line, generate_subscripts(parts, 1) AS place FROM split),
+keyed AS (SELECT *, LOWERED(regexp_replace(line, '^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$', '', 'g')) AS key FROM lines),
+common AS (SELECT key FROM keyed WHERE key <> '' GROUP BY key HAVING count(DISTINCT doc_id) >= 10)
+SELECT doc_id, count(*) AS n_lines, count(c.key) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY place) FILTER (WHERE c.key IS NULL), '')) AS kept_sha256
+FROM keyed k LEFT JOIN common c ON k.key = c.key GROUP BY doc_id""",
+    "op4_exact_dedup_block_names": """
+WITH t AS (SELECT doc_id, LOWERED(coalesce(text, '')) AS norm FROM documents),
+g AS (SELECT norm, max(doc_id) AS keep_id, count(*) AS group_size FROM t GROUP BY norm)
+SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(norm) AS text_sha256 FROM t JOIN g USING (norm)""",
+    "op5_difference_cover_anchors": r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents),
+p AS (SELECT doc_id, words, unnest(range(1, len(words) - 48)) AS at FROM d WHERE len(words) >= 50),
+w AS (SELECT doc_id, at, sha256(array_to_string(words[at:at + 49], ' ')) AS key FROM p),
+least AS (SELECT key, min(doc_id) AS doc FROM w GROUP BY key HAVING count(DISTINCT doc_id) > 1),
+hit AS (SELECT w.doc_id, w.at FROM w JOIN least USING (key) WHERE least.doc < w.doc_id),
+gone AS (SELECT DISTINCT doc_id, unnest(range(at, at + 50)) AS place FROM hit),
+word AS (SELECT doc_id, unnest(words) AS word, generate_subscripts(words, 1) AS place FROM d),
+kept AS (SELECT doc_id, count(*) AS n, string_agg(word, ' ' ORDER BY place) AS body FROM word ANTI JOIN gone USING (doc_id, place) GROUP BY doc_id)
+SELECT doc_id, len(words) AS n_words, len(words) - coalesce(n, 0) AS n_removed, sha256(coalesce(body, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (doc_id)""",
+    "op10_decontamination_winnowing": r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(LOWERED(coalesce(text, '')), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words FROM documents),
+b AS (SELECT item_id, regexp_extract_all(LOWERED(coalesce(text, '')), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words FROM benchmark),
+bw AS (SELECT DISTINCT item_id, least(13, len(words)) AS n, unnest(list_transform(range(1, greatest(2, len(words) - 11)), lambda i: array_to_string(words[i:i + 12], ' '))) AS key
+       FROM b WHERE len(words) > 0),
+sizes AS (SELECT DISTINCT n FROM bw),
+dp AS (SELECT doc_id, n, words, unnest(range(1, len(words) - n + 2)) AS at FROM d, sizes WHERE len(words) >= n),
+dw AS (SELECT doc_id, n, at, array_to_string(words[at:at + n - 1], ' ') AS key FROM dp),
+met AS (SELECT doc_id, item_id, n, at FROM dw JOIN bw USING (n, key)),
+hits AS (SELECT doc_id, count(DISTINCT place) AS n_hit FROM (SELECT doc_id, unnest(range(at, at + n)) AS place FROM met) GROUP BY doc_id),
+items AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS names
+          FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM met) GROUP BY doc_id)
+SELECT doc_id, len(words) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(names, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(words) AS contaminated
+FROM d LEFT JOIN hits USING (doc_id) LEFT JOIN items USING (doc_id)""",
+}
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {k: _lowered(v) for k, v in _SQL.items()}
+
+
+def _lowered(sql: str) -> str:
+    """LOWERED(x) written out: A-Z only."""
+    while (at := sql.find("LOWERED(")) >= 0:
+        end, depth = at + 8, 1
+        while depth:
+            depth += {"(": 1, ")": -1}.get(sql[end], 0)
+            end += 1
+        sql = sql[:at] + _LOWER.format(sql[at + 8 : end - 1]) + sql[end:]
+    return sql
 
 
 def queries() -> dict:
-    return {k: f for k, f in sorted(globals().items()) if k.startswith("op") and callable(f)}
+    return {k: f for k, f in globals().items() if k.startswith("op") and callable(f)}
