@@ -27,6 +27,12 @@ def op5_difference_cover_anchors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeated_windows(_read(spark, sf_dir), window=50).select("doc_id", "n_words", "n_removed", "kept_sha256")
 
 
+def op9_ngram_jaccard_rtree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .ngram_join import jaccard_components
+
+    return jaccard_components(_read(spark, sf_dir), percent=90, n=3).select("doc_id", "n_shingles", "component_id")
+
+
 def op10_decontamination_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .winnow import contamination
 
@@ -51,25 +57,39 @@ g AS (SELECT norm, max(doc_id) AS keep_id, count(*) AS group_size FROM t GROUP B
 SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(norm) AS text_sha256 FROM t JOIN g USING (norm)""",
     "op5_difference_cover_anchors": r"""
 WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents),
-p AS (SELECT doc_id, words, unnest(range(1, len(words) - 48)) AS at FROM d WHERE len(words) >= 50),
-w AS (SELECT doc_id, at, sha256(array_to_string(words[at:at + 49], ' ')) AS key FROM p),
+p AS (SELECT doc_id, words, unnest(range(1, len(words) - 48)) AS pos FROM d WHERE len(words) >= 50),
+w AS (SELECT doc_id, pos, sha256(array_to_string(words[pos:pos + 49], ' ')) AS key FROM p),
 least AS (SELECT key, min(doc_id) AS doc FROM w GROUP BY key HAVING count(DISTINCT doc_id) > 1),
-hit AS (SELECT w.doc_id, w.at FROM w JOIN least USING (key) WHERE least.doc < w.doc_id),
-gone AS (SELECT DISTINCT doc_id, unnest(range(at, at + 50)) AS place FROM hit),
+hit AS (SELECT w.doc_id, w.pos FROM w JOIN least USING (key) WHERE least.doc < w.doc_id),
+gone AS (SELECT DISTINCT doc_id, unnest(range(pos, pos + 50)) AS place FROM hit),
 word AS (SELECT doc_id, unnest(words) AS word, generate_subscripts(words, 1) AS place FROM d),
 kept AS (SELECT doc_id, count(*) AS n, string_agg(word, ' ' ORDER BY place) AS body FROM word ANTI JOIN gone USING (doc_id, place) GROUP BY doc_id)
 SELECT doc_id, len(words) AS n_words, len(words) - coalesce(n, 0) AS n_removed, sha256(coalesce(body, '')) AS kept_sha256
 FROM d LEFT JOIN kept USING (doc_id)""",
+    "op9_ngram_jaccard_rtree": r"""
+WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all(LOWERED(coalesce(text, '')), '[^\x20\x09-\x0D]+') AS words FROM documents),
+s AS (SELECT DISTINCT doc_id, hash(unnest(list_transform(range(1, greatest(2, len(words) - 1)), lambda i: array_to_string(words[i:i + 2], ' ')))) AS gram
+      FROM d WHERE len(words) > 0),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+sets AS (SELECT doc_id, n, md5(array_to_string(list(gram ORDER BY gram), ',')) AS body FROM s JOIN n USING (doc_id) GROUP BY doc_id, n),
+lead AS (SELECT body, min(doc_id) AS lead FROM sets GROUP BY body),
+r AS (SELECT s.doc_id, s.gram, n.n FROM s JOIN n USING (doc_id) WHERE doc_id IN (SELECT lead FROM lead)),
+links AS (SELECT a.doc_id AS u, b.doc_id AS v FROM r a JOIN r b ON a.gram = b.gram AND a.doc_id <> b.doc_id AND 100 * least(a.n, b.n) >= 90 * greatest(a.n, b.n)
+          GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 90 * (a.n + b.n - count(*))),
+reach AS (SELECT lead AS node, lead AS top FROM lead UNION SELECT l.v, reach.top FROM reach JOIN links l ON l.u = reach.node AND reach.top < l.v),
+tops AS (SELECT node, min(top) AS top FROM reach GROUP BY node)
+SELECT d.doc_id, coalesce(n, 0) AS n_shingles, coalesce(tops.top, d.doc_id) AS component_id
+FROM d LEFT JOIN sets USING (doc_id) LEFT JOIN lead USING (body) LEFT JOIN tops ON tops.node = lead.lead""",
     "op10_decontamination_winnowing": r"""
 WITH d AS (SELECT doc_id, regexp_extract_all(LOWERED(coalesce(text, '')), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words FROM documents),
 b AS (SELECT item_id, regexp_extract_all(LOWERED(coalesce(text, '')), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words FROM benchmark),
 bw AS (SELECT DISTINCT item_id, least(13, len(words)) AS n, unnest(list_transform(range(1, greatest(2, len(words) - 11)), lambda i: array_to_string(words[i:i + 12], ' '))) AS key
        FROM b WHERE len(words) > 0),
 sizes AS (SELECT DISTINCT n FROM bw),
-dp AS (SELECT doc_id, n, words, unnest(range(1, len(words) - n + 2)) AS at FROM d, sizes WHERE len(words) >= n),
-dw AS (SELECT doc_id, n, at, array_to_string(words[at:at + n - 1], ' ') AS key FROM dp),
-met AS (SELECT doc_id, item_id, n, at FROM dw JOIN bw USING (n, key)),
-hits AS (SELECT doc_id, count(DISTINCT place) AS n_hit FROM (SELECT doc_id, unnest(range(at, at + n)) AS place FROM met) GROUP BY doc_id),
+dp AS (SELECT doc_id, n, words, unnest(range(1, len(words) - n + 2)) AS pos FROM d, sizes WHERE len(words) >= n),
+dw AS (SELECT doc_id, n, pos, array_to_string(words[pos:pos + n - 1], ' ') AS key FROM dp),
+met AS (SELECT doc_id, item_id, n, pos FROM dw JOIN bw USING (n, key)),
+hits AS (SELECT doc_id, count(DISTINCT place) AS n_hit FROM (SELECT doc_id, unnest(range(pos, pos + n)) AS place FROM met) GROUP BY doc_id),
 items AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS names
           FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM met) GROUP BY doc_id)
 SELECT doc_id, len(words) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(names, '')) AS items_sha256,
