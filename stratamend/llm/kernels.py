@@ -188,3 +188,14 @@ def difference_cover(q: int) -> tuple[np.ndarray, int]:
 
 def is_cover(d, v: int) -> bool:
     return len({(int(a) - int(b)) % v for a in d for b in d}) == v
+
+
+class Runs:
+    """Hashes of byte runs at chosen places of one buffer."""
+
+    def __init__(self, buf: np.ndarray, powers: Powers = BYTES):
+        up, self.down = powers.upto(len(buf) + 1)
+        self.p = _prefix(powers.codes[buf], up[:-1])
+
+    def at(self, places: np.ndarray, k) -> np.ndarray:
+        return mix((self.p[places + k] - self.p[places]) * self.down[places])

@@ -27,6 +27,12 @@ def op5_difference_cover_anchors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeated_windows(_read(spark, sf_dir), window=50).select("doc_id", "n_words", "n_removed", "kept_sha256")
 
 
+def op8_suffix_difference_cover(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .suffixes import repeated_bytes
+
+    return repeated_bytes(_read(spark, sf_dir), length=400).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
 def op9_ngram_jaccard_rtree(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .ngram_join import jaccard_components
 
