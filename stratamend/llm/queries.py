@@ -15,6 +15,18 @@ def op2_line_dedup_cuckoo(spark: SparkSession, sf_dir: str) -> DataFrame:
     return common_lines_dropped(_read(spark, sf_dir), min_docs=10).select("doc_id", "n_lines", "n_dropped", "kept_sha256")
 
 
+def op3_quality_attention_mil(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pyspark.sql import functions as F
+
+    from . import mil
+
+    docs, labels = _read(spark, sf_dir), _read(spark, sf_dir, "labels")
+    held = F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(5)) == 0
+    model = mil.fit(docs, labels.where(~held), "quality")
+    found = mil.score(docs, model)
+    return found.select("doc_id", held.alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"), "n_passages", "top_passage")
+
+
 def op4_exact_dedup_block_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .blocknames import exact_groups
 
@@ -27,6 +39,17 @@ def op5_difference_cover_anchors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeated_windows(_read(spark, sf_dir), window=50).select("doc_id", "n_words", "n_removed", "kept_sha256")
 
 
+def op7_language_hyperdimensional(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pyspark.sql import functions as F
+
+    from . import hyperlang
+
+    docs = _read(spark, sf_dir)
+    held = F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(4)) == 2
+    found = hyperlang.predict(docs, hyperlang.fit(docs.where(~held)))
+    return found.select("doc_id", held.alias("held_out"), "lang_pred", "score")
+
+
 def op8_suffix_difference_cover(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .suffixes import repeated_bytes
 
