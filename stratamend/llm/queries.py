@@ -39,6 +39,16 @@ def op5_difference_cover_anchors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeated_windows(_read(spark, sf_dir), window=50).select("doc_id", "n_words", "n_removed", "kept_sha256")
 
 
+#: The SentencePiece model, as installed; only the driver reads it.
+PIECES = "/opt/tokenizers/piece_bpe_32k.model"
+
+
+def op6_sentencepiece_gumbel(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .lattice import Vocabulary, encode
+
+    return encode(_read(spark, sf_dir), Vocabulary.load(PIECES), k=2, seed=1)
+
+
 def op7_language_hyperdimensional(spark: SparkSession, sf_dir: str) -> DataFrame:
     from pyspark.sql import functions as F
 
