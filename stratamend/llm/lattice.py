@@ -356,8 +356,8 @@ def sample(v: Vocabulary, texts: list[str], seeds: list[int], k: int) -> list[li
 
     def bound(number: int, first: np.ndarray, tops: np.ndarray) -> np.ndarray:
         log = logs[number]
-        before = np.concatenate([[0], np.cumsum(log)])
-        phi = before[:-1] - before[units[:-1]][doc]
+        # text by text: a running sum over the slice would round differently from batch to batch
+        phi = np.concatenate([np.zeros(0), *(np.cumsum(log[a:b]) - log[a:b] for a, b in zip(units, units[1:]))])
         rest = -np.expm1(np.minimum(log, 0))
         with np.errstate(divide="ignore"):
             phi = phi + np.where(rest > 1e-13, np.log(np.maximum(rest, 1e-300)), -np.inf)
