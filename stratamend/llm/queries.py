@@ -9,6 +9,18 @@ def _read(spark: SparkSession, sf_dir: str, table: str = "documents") -> DataFra
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+#: A byte-level BPE vocabulary, as installed; only the driver reads it.
+RANKS = "/opt/tokenizers/byte_bpe_50k.tiktoken"
+#: The public pattern that cuts texts for that vocabulary.
+WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+
+
+def op1_training_order_feistel(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .trainorder import Tokenizer, training_order
+
+    return training_order(_read(spark, sf_dir), Tokenizer(RANKS, WORD_PATTERN), key=20240229)
+
+
 def op2_line_dedup_cuckoo(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .linefilter import common_lines_dropped
 
