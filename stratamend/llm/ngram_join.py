@@ -32,6 +32,7 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -39,12 +40,12 @@ from . import exchange as X
 from . import kernels as K
 from .components import components
 
-#: Groups of a count vector.
-GROUPS = 32
+#: Groups of a count vector: so many that n-grams of one set alone seldom meet those of the other in a group.
+GROUPS = 256
 #: Points of a leaf of the R-tree, and children of an inner node.
 FANOUT = 16
-#: Rows of one block that one search takes at most; a larger block is dealt into tiles.
-TILE = 4096
+#: Rows of one block that meet in one search, on either side; a larger block is dealt into cells.
+TILE = 512
 _CAND = "key long, n int, marks array<long>, vector binary, grams binary"
 
 
@@ -106,6 +107,15 @@ def vector_of(grams: np.ndarray) -> np.ndarray:
     return np.bincount((K.mix(grams) >> np.uint64(40)).astype(np.int64) % GROUPS, minlength=GROUPS).astype(np.int32)
 
 
+def _packed(vector: np.ndarray) -> bytes:
+    return zstandard.compress(vector.astype(np.uint32).tobytes(), 1)
+
+
+def _unpacked(column: pa.ChunkedArray) -> np.ndarray:
+    open_ = zstandard.ZstdDecompressor()
+    return np.frombuffer(b"".join(open_.decompress(x) for x in column.to_pylist()), np.uint32).astype(np.int32).reshape(-1, GROUPS)
+
+
 def enough(a, b, percent: int):
     """The least overlap with which sets of these sizes link."""
     return -(-(a + b) * percent // (100 + percent))
@@ -141,17 +151,17 @@ class RTree:
 
 
 def _across(percent: int):
-    """For a tile of a block: pairs of different components that the tree cannot rule out."""
+    """For a cell of a block: pairs of different components that the tree cannot rule out."""
 
     def f(t: pa.Table) -> pa.Table:
-        keys, comps = t.column("key").to_numpy(), t.column("component").to_numpy()
-        points = np.frombuffer(b"".join(t.column("vector").to_pylist()), np.int32).reshape(len(keys), GROUPS)
-        names, sizes = np.unique(comps, return_counts=True)
-        large = comps == names[np.argmax(sizes)]
-        tree, u, v = RTree(points), [], []
-        for k in np.flatnonzero(~large):  # the largest component is only searched
-            hit = tree.search(points[k], percent)
-            hit = hit[(comps[hit] != comps[k]) & (large[hit] | (keys[hit] > keys[k]))]
+        keys, comps, main = t.column("key").to_numpy(), t.column("component").to_numpy(), np.asarray(t.column("main")).astype(bool)
+        first, points, u, v = t.column("a")[0].as_py() <= 0, _unpacked(t.column("vector")), [], []
+        rest = np.flatnonzero(~main)
+        tree = RTree(points if first else points[main]) if first or main.any() else None
+        place = np.arange(len(keys)) if first else np.flatnonzero(main)
+        for k in rest if tree else ():
+            hit = place[tree.search(points[k], percent)]
+            hit = hit[(comps[hit] != comps[k]) & (main[hit] | (keys[hit] > keys[k]))]
             u.append(np.full(len(hit), keys[k]))
             v.append(keys[hit])
         u, v = (np.concatenate([np.zeros(0, np.int64), *x]) for x in (u, v))
@@ -185,12 +195,12 @@ def _linked(pairs: DataFrame, cand: DataFrame, percent: int) -> DataFrame:
 
 
 def jaccard_components(docs: DataFrame, percent: int = 90, n: int = 3, id_col: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc_id, n_shingles, component_id, set_id): documents linked at a Jaccard similarity of ``percent`` per cent or more."""
+    """(doc_id, n_shingles, component_id, key, stays): documents linked at a Jaccard similarity of ``percent`` per cent or more."""
     spark, total = docs.sparkSession, X.text_bytes(docs, text)
     chunks, buckets = X.chunked(docs, total, id_col, text), X.buckets_for(spark, total / 3)
     levels = Levels(percent)
     # rows without id get a negative key from their text
-    chunks = chunks.select("chunk", F.coalesce("id", -1 - F.expr("xxhash64(text) & 4611686018427387903")).alias("key"), F.col("id").isNull().alias("nameless"), "text")
+    chunks = chunks.select("chunk", F.coalesce("id", _text_key(F.col("text"))).alias("key"), F.col("id").isNull().alias("nameless"), "text")
 
     def prints(t: pa.Table) -> pa.Table:
         size, a, b = np.zeros(t.num_rows, np.int64), [None] * t.num_rows, [None] * t.num_rows
@@ -228,7 +238,7 @@ def jaccard_components(docs: DataFrame, percent: int = 90, n: int = 3, id_col: s
             m = marks_of(grams, levels)
             m = m[K.member(m, names)]
             if len(m):
-                for k, v in zip(out, (keys[r], len(grams), m.view(np.int64), vector_of(grams).tobytes(), grams.tobytes())):
+                for k, v in zip(out, (keys[r], len(grams), m.view(np.int64), _packed(vector_of(grams)), grams.tobytes())):
                     out[k].append(v)
         kinds = (pa.int64(), pa.int32(), pa.list_(pa.int64()), pa.binary(), pa.binary())
         return pa.table({k: pa.array(v, kind) for (k, v), kind in zip(out.items(), kinds)})
@@ -257,10 +267,17 @@ def jaccard_components(docs: DataFrame, percent: int = 90, n: int = 3, id_col: s
     # the pair of a block of two has been tried
     mixed = label.groupBy("mark").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count(F.lit(1)).alias("size")).where("low <> high AND size > 2")
     within = label.join(mixed.select("mark"), "mark").groupBy("mark", "component").agg(F.count(F.lit(1)).alias("size"))
-    mixed = within.groupBy("mark").agg(F.max_by("component", F.struct("size", "component")).alias("main"), F.ceil(F.sum("size") / TILE).cast("int").alias("tiles"))
-    apart = label.join(mixed, "mark").withColumn("tile", F.explode(F.when(F.col("component") == F.col("main"), F.array(F.pmod(F.xxhash64("key"), F.col("tiles")).cast("int"))).otherwise(F.sequence(F.lit(0), F.col("tiles") - 1))))
-    apart = apart.select("mark", "tile", "key", "component").join(cand.select("key", "vector"), "key")
-    more = apart.groupBy("mark", "tile").applyInArrow(_across(percent), "u long, v long").distinct().join(tried, ["u", "v"], "left_anti")
+    tiles = lambda n: F.greatest(F.lit(1), F.ceil(n / TILE)).cast("int")
+    mixed = within.groupBy("mark").agg(F.max(F.struct("size", "component")).alias("top"), F.sum("size").alias("size"))
+    mixed = mixed.select("mark", F.col("top.component").alias("most"), tiles(F.col("top.size")).alias("x"), tiles(F.col("size") - F.col("top.size")).alias("y"))
+    # A cell (a, b) is tile a of the block's largest component and tile b of the rest.  The rest meets itself in cells (0, b) and, across tiles, (-1 - b, c).
+    apart = label.join(mixed, "mark").withColumn("main", F.col("component") == F.col("most")).withColumn("tile", F.pmod(F.xxhash64("key"), F.when(F.col("main"), F.col("x")).otherwise(F.col("y"))).cast("int"))
+    cells = F.when(F.col("main"), F.expr("transform(sequence(0, y - 1), b -> struct(tile AS a, b AS b))")).otherwise(
+        F.expr("concat(transform(sequence(0, x - 1), a -> struct(a AS a, tile AS b)), transform(filter(sequence(0, y - 1), c -> c <> tile), c -> struct(-1 - least(c, tile) AS a, greatest(c, tile) AS b)))")
+    )
+    apart = apart.select("mark", "key", "component", "main", F.explode(cells).alias("cell")).select("mark", "cell.a", "cell.b", "key", "component", "main")
+    apart = apart.join(cand.select("key", "vector"), "key")
+    more = apart.groupBy("mark", "a", "b").applyInArrow(_across(percent), "u long, v long").distinct().join(tried, ["u", "v"], "left_anti")
     late = X.stored(_linked(more, cand, percent), "links")
     if not late.isEmpty():
         comp = components(links.unionByName(late))
@@ -270,6 +287,23 @@ def jaccard_components(docs: DataFrame, percent: int = 90, n: int = 3, id_col: s
     sets = leads.select("a", "b", F.col("lead.key").alias("node")).join(comp, "node", "left").select("a", "b", F.coalesce("component", "node").alias("component"))
     tagged = every.join(sets.select(node.alias("set"), "component"), F.concat_ws(":", every.a, every.b) == F.col("set"), "left")
     tagged = tagged.select("key", "nameless", "n", F.coalesce("component", "key").alias("component"))
-    names = tagged.groupBy("component").agg(F.min(F.when(~F.col("nameless"), F.col("key"))).alias("component_id"))
-    out = tagged.withColumn("k", F.col("component").cast("string")).join(names.select(F.col("component").cast("string").alias("k"), "component_id"), "k")
-    return out.select(F.when(~F.col("nameless"), F.col("key")).alias("doc_id"), F.col("n").cast("long").alias("n_shingles"), "component_id", F.col("component").alias("set_id"))
+    names = tagged.groupBy("component").agg(F.min(F.when(~F.col("nameless"), F.col("key"))).alias("component_id"), F.min("key").alias("least"))
+    out = tagged.withColumn("k", F.col("component").cast("string")).join(names.select(F.col("component").cast("string").alias("k"), "component_id", "least"), "k")
+    stays = F.col("key") == F.coalesce("component_id", "least")
+    return out.select(F.when(~F.col("nameless"), F.col("key")).alias("doc_id"), F.col("n").cast("long").alias("n_shingles"), "component_id", "key", stays.alias("stays"))
+
+
+def one_of_each(docs: DataFrame, percent: int = 80, n: int = 5, id_col: str = "doc_id", text: str = "text") -> DataFrame:
+    """The rows of ``docs``, as they are, that stand for their component: the least real id, or else the least key.
+
+    Rows that share an id are one node, and one of them stays.
+    """
+    own = "key_" + "_".join(docs.columns)  # a name that no column has
+    stay = jaccard_components(docs, percent, n, id_col, text).where("stays").select(F.col("key").alias(own)).distinct()
+    key = F.coalesce(F.col(id_col).cast("long"), _text_key(F.col(text).cast("string")))
+    return docs.withColumn(own, key).join(stay, own, "left_semi").dropDuplicates([own]).drop(own)
+
+
+def _text_key(text):
+    """The negative key of a row without id."""
+    return -1 - F.xxhash64(text).bitwiseAND(F.lit((1 << 62) - 1))
