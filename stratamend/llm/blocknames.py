@@ -35,7 +35,7 @@ BLOCK = 4096
 CHUNK = 8 << 20
 _ROWS = "route long, kind int, chunk long, place int, block binary"
 _NAMED = "chunk long, kind int, place int, name long, block binary"
-_SEQ = "row long, doc_id long, sha binary, symbols binary"
+_SEQ = "row long, doc_id long, tag long, sha binary, symbols binary"
 
 
 def _documents(size: int):
@@ -50,7 +50,7 @@ def _documents(size: int):
                 at = (offs[i : j + 1] - offs[i]).tolist()
                 texts = [raw[x:y] for x, y in zip(at, at[1:])]
                 shas = [hashlib.sha256(x).digest() for x in texts]
-                yield from _dictionary(part << 32 | count, list(range(j - i)), batch.column(0).slice(i, j - i).to_pylist(), shas, texts, size)
+                yield from _dictionary(part << 32 | count, list(range(j - i)), batch.column(0).slice(i, j - i).to_pylist(), batch.column(2).slice(i, j - i).to_pylist(), shas, texts, size)
                 count += 1
 
     return f
@@ -63,13 +63,13 @@ def _sequences(size: int):
         part, count = TaskContext.get().partitionId(), 0
         for batch in batches:
             t = batch.to_pydict()
-            yield from _dictionary(part << 32 | count, t["row"], t["doc_id"], t["sha"], t["symbols"], size, rows_are_ids=True)
+            yield from _dictionary(part << 32 | count, t["row"], t["doc_id"], t["tag"], t["sha"], t["symbols"], size, rows_are_ids=True)
             count += 1
 
     return f
 
 
-def _dictionary(chunk: int, rows: list, ids: list, shas: list, texts: list[bytes], size: int, rows_are_ids: bool = False):
+def _dictionary(chunk: int, rows: list, ids: list, tags: list, shas: list, texts: list[bytes], size: int, rows_are_ids: bool = False):
     places: dict[bytes, int] = {}
     lists = []
     for x in texts:
@@ -78,6 +78,7 @@ def _dictionary(chunk: int, rows: list, ids: list, shas: list, texts: list[bytes
         {
             "row": pa.array(rows if rows_are_ids else [(chunk << 20) + k for k in rows], pa.int64()),
             "doc_id": pa.array(ids, pa.int64()),
+            "tag": pa.array(tags, pa.int64()),
             "sha": pa.array(shas, pa.binary()),
             "places": pa.array(lists, pa.list_(pa.int32())),
         }
@@ -135,7 +136,7 @@ def _resolve(batches):
             flat, at = table[lists.values.to_numpy()], lists.offsets.to_numpy()
             # names as big-endian bytes, so that sorting the next level's blocks sorts by name
             symbols = [flat[x:y].astype(">i8").tobytes() for x, y in zip(at, at[1:])]
-            t = pa.table({"row": body.column("row"), "doc_id": body.column("doc_id"), "sha": body.column("sha"), "symbols": pa.array(symbols, pa.binary())})
+            t = pa.table({"row": body.column("row"), "doc_id": body.column("doc_id"), "tag": body.column("tag"), "sha": body.column("sha"), "symbols": pa.array(symbols, pa.binary())})
             yield from t.to_batches()
 
 
@@ -145,8 +146,8 @@ def _round(rows: DataFrame) -> DataFrame:
 
 
 def identities(docs: DataFrame, id_col: str = "doc_id", text: str = "text", block: int = BLOCK) -> DataFrame:
-    """(row, doc_id, sha, blocks, name): equal (blocks, name) means equal texts, and the other way round."""
-    body = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
+    """(row, doc_id, tag, sha, blocks, name), with the hash of the text as it is for a tag: equal (blocks, name) means equal texts, and the other way round."""
+    body = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text")).withColumn("tag", F.xxhash64("text"))
     left = _round(body.mapInArrow(_documents(block), _ROWS)).withColumn("blocks", F.expr("octet_length(symbols) div 8"))
     left = X.stored(left, "names")
     most, done = left.agg(F.max("blocks")).first()[0] or 1, left.where("blocks = 1")
@@ -156,8 +157,8 @@ def identities(docs: DataFrame, id_col: str = "doc_id", text: str = "text", bloc
     for _ in range(levels):
         left = _round(left.mapInArrow(_sequences(16), _ROWS))
     if levels:
-        done = done.select("row", "doc_id", "sha", "blocks", "symbols").unionByName(left.join(sizes, "row").select("row", "doc_id", "sha", "blocks", "symbols"))
-    return done.select("row", "doc_id", "sha", "blocks", F.conv(F.hex("symbols"), 16, -10).cast("long").alias("name"))
+        done = done.select("row", "doc_id", "tag", "sha", "blocks", "symbols").unionByName(left.join(sizes, "row").select("row", "doc_id", "tag", "sha", "blocks", "symbols"))
+    return done.select("row", "doc_id", "tag", "sha", "blocks", F.conv(F.hex("symbols"), 16, -10).cast("long").alias("name"))
 
 
 def exact_groups(docs: DataFrame, id_col: str = "doc_id", text: str = "text", block: int = BLOCK) -> DataFrame:
@@ -169,3 +170,16 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text: str = "text", bl
     groups = rows.groupBy("blocks", "name").agg(F.max(F.struct(F.col("doc_id").isNotNull().alias("real"), "doc_id", "row")).alias("top"), F.count(F.lit(1)).alias("group_size"))
     out = rows.select(key, "row", "doc_id", "sha").join(groups.select(key, "top", "group_size"), "key")
     return out.select("doc_id", F.col("top.doc_id").alias("keep_id"), "group_size", (F.col("row") == F.col("top.row")).alias("kept"), F.lower(F.hex("sha")).alias("text_sha256"))
+
+
+def one_of_each(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
+    """The rows of ``docs``, as they are, that stay: of equal texts one, that of the largest id.
+
+    They come back by id and text hash; rows that repeat both are one.
+    """
+    own, tag = ("key_" + "_".join(docs.columns), "tag_" + "_".join(docs.columns))  # names that no column has
+    whole = lambda c: F.coalesce(c, F.lit(-(1 << 63) + 1))
+    best = F.max(F.struct(F.col("doc_id").isNotNull().alias("real"), "doc_id", "row", "tag")).alias("top")
+    stay = identities(docs, id_col, text).groupBy("blocks", "name").agg(best).select(whole(F.col("top.doc_id")).alias(own), F.col("top.tag").alias(tag))
+    rows = docs.withColumns({own: whole(F.col(id_col).cast("long")), tag: F.xxhash64(F.col(text).cast("string"))})
+    return rows.join(stay, [own, tag], "left_semi").dropDuplicates([own, tag]).drop(own, tag)

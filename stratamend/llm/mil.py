@@ -221,3 +221,17 @@ def _scored(model: Model):
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text: str = "text") -> DataFrame:
     """Every row's score, its number of passages, and the passage that weighs most."""
     return docs.select(F.col(id_col).alias("doc_id"), F.col(text).cast("string").alias("text")).mapInArrow(_scored(model), RESULT)
+
+
+def keep(docs: DataFrame, model: Model, threshold: float = 0.3, text: str = "text") -> DataFrame:
+    """The rows of ``docs``, as they are, that score ``threshold`` or more; null counts as empty text."""
+    at = docs.columns.index(text)
+
+    def f(batches):
+        for batch in batches:
+            buf, offs = K.text_column(batch.column(at))
+            for i, j in K.row_slices(offs, 1 << 19):
+                y, _ = model.score(*features(buf[offs[i] : offs[j]], offs[i : j + 1] - offs[i]))
+                yield batch.slice(i, j - i).filter(pa.array(y >= threshold))
+
+    return docs.mapInArrow(f, docs.schema)

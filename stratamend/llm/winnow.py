@@ -149,6 +149,18 @@ def _judged(index: Index):
     return f
 
 
+def _clean(index: Index, at: int):
+    """Rows that aren't contaminated, as they are."""
+
+    def f(batches):
+        for batch in batches:
+            found = _merged(_judged(index)([pa.record_batch({"doc_id": pa.nulls(batch.num_rows, pa.int64()), "text": batch.column(at)})]))
+            bad = [x for part in found for x in part.column("contaminated").to_pylist()]
+            yield batch.filter(pa.array([not x for x in bad], pa.bool_()))
+
+    return f
+
+
 def _merged(batches):
     """The sums of each document; a row may hold the overlapping spans of several blocks."""
     for batch in batches:
@@ -169,13 +181,30 @@ def _merged(batches):
         yield pa.record_batch({"doc_id": batch.column(0), "n_words": batch.column(1)} | {k: pa.array(v, t) for (k, v), t in zip(out.items(), kinds)})
 
 
+def _bench(items: DataFrame, item_col: str, item_text: str, block_bytes: int) -> tuple[DataFrame, int]:
+    """Items with text, and into how many blocks they go."""
+    bench = items.select(F.col(item_col).cast("string").alias("item"), F.col(item_text).cast("string").alias("text")).where("text IS NOT NULL AND item IS NOT NULL")
+    total = bench.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    return bench, max(1, -(-2 * total // block_bytes)) if total > block_bytes else 1
+
+
+def decontaminated(docs: DataFrame, items: DataFrame, window: int = 13, text: str = "text", item_col: str = "item_id", item_text: str = "text", block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """The rows of ``docs``, as they are, that aren't contaminated."""
+    bench, blocks = _bench(items, item_col, item_text, block_bytes)
+    if blocks == 1:
+        index = Index([(r.item, r.text) for r in bench.toLocalIterator()], window)
+        return docs.mapInArrow(_clean(index, docs.columns.index(text)), docs.schema)
+    row = "row_" + "_".join(docs.columns)  # a name that no column has
+    rows = X.stored(docs.withColumn(row, F.monotonically_increasing_id()), "documents")
+    bad = contamination(rows, items, window, row, text, item_col, item_text, block_bytes).where("contaminated").select(F.col("doc_id").alias(row))
+    return rows.join(bad, row, "left_anti").drop(row)
+
+
 def contamination(docs: DataFrame, items: DataFrame, window: int = 13, id_col: str = "doc_id", text: str = "text", item_col: str = "item_id", item_text: str = "text", block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """Each document's words inside occurrences of item windows, as ``RESULT``; spans are word indexes [from, to)."""
     body = F.col(text).cast("string").alias("text")
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), body)
-    bench = items.select(F.col(item_col).cast("string").alias("item"), F.col(item_text).cast("string").alias("text")).where("text IS NOT NULL AND item IS NOT NULL")
-    total = bench.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    blocks = max(1, -(-2 * total // block_bytes)) if total > block_bytes else 1
+    bench, blocks = _bench(items, item_col, item_text, block_bytes)
     found = None
     if blocks > 1:  # several looks at the documents: each row needs a name of its own
         docs = X.stored(docs.withColumn("row", F.monotonically_increasing_id()), "documents")
