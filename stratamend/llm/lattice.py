@@ -71,7 +71,13 @@ class Vocabulary:
         self.longest = max((len(p) for _, p, _ in pieces), default=1)
         self.known = np.zeros(OWN_MARK + 1, bool)
         self.known[[ord(c) for c in one]] = True
-        keys = np.array([self.name([ord(c) for c in p]) for _, p, _ in pieces], np.uint64)
+        # the table also holds proper prefixes of pieces, after the pieces: they end a search early
+        whole = {p for _, p, _ in pieces}
+        spans = sorted({p[:k] for p in whole for k in range(1, len(p))} - whole)
+        more = {p[:k] for p in whole for k in range(1, len(p))}
+        self.longer = np.array([p in more for _, p, _ in pieces] + [True] * len(spans), bool)
+        self.count = len(pieces)
+        keys = np.array([self.name([ord(c) for c in p]) for p in [p for _, p, _ in pieces] + spans], np.uint64)
         self.tables, left = [], np.arange(len(keys))
         for shift in (42, 21, 0):
             table = np.full(1 << 21, -1, np.int32)
@@ -123,7 +129,7 @@ class Vocabulary:
 
     def decode(self, ids) -> bytes:
         """The text of a path."""
-        raw = b"".join([self.spell[i] for i in ids])
+        raw = b"".join(map(self.spell.__getitem__, ids))
         return raw[1:] if len(ids) else raw
 
     def dtype(self):
@@ -131,24 +137,38 @@ class Vocabulary:
 
 
 class _Group:
-    """Distinct units of one length: edges into each place, and forward sums."""
+    """Distinct units of one length: for each place the edges that end there, with their chances."""
 
     def __init__(self, v: Vocabulary, chars: np.ndarray):
         n, size = chars.shape
-        self.size, self.edges = size, [[] for _ in range(size + 1)]
-        self.sums = np.zeros((size + 1, n))
-        self.sums[0] = 1
+        self.size, edges = size, [[] for _ in range(size + 1)]
+        sums = np.zeros((size + 1, n))
+        sums[0] = 1
         for i in range(size):
-            h = np.full(n, 0x1234567, np.uint64)
+            on, h = np.arange(n), np.full(n, 0x1234567, np.uint64)
             for j in range(i + 1, min(size, i + v.longest) + 1):
-                h = v.step(h, chars[:, j - 1])
-                piece = v.find(K.mix(h))
-                if (piece >= 0).any():
-                    w = np.where(piece >= 0, v.weight[piece], 0.0)
-                    self.edges[j].append((i, w, piece))
+                h = v.step(h, chars[on, j - 1])
+                place = v.find(K.mix(h))
+                hit = (place >= 0) & (place < v.count)
+                if hit.any():
+                    units, piece = on[hit], place[hit]
+                    edges[j].append((i, units, piece, v.weight[piece]))
+                stay = (place >= 0) & v.longer[place]
+                on, h = on[stay], h[stay]
+                if not len(on):
+                    break
+        self.start, self.piece, self.log, self.edge, self.last = ([None] * (size + 1) for _ in range(5))
         for j in range(1, size + 1):
-            for i, w, _ in self.edges[j]:
-                self.sums[j] += self.sums[i] * w
+            mass, piece = np.zeros((n, len(edges[j]))), np.zeros((n, len(edges[j])), np.int32)
+            for k, (i, units, p, w) in enumerate(edges[j]):
+                mass[units, k], piece[units, k] = sums[i][units] * w, p
+            sums[j] = mass.sum(1)
+            self.start[j], self.piece[j] = np.array([e[0] for e in edges[j]]), piece
+            mass /= sums[j][:, None]
+            self.edge[j] = np.cumsum(mass, 1)
+            self.last[j] = len(edges[j]) - 1 - (mass[:, ::-1] > 0).argmax(1)
+            with np.errstate(divide="ignore"):
+                self.log[j] = np.log(mass)
 
     def draw(self, unit: np.ndarray, base: np.ndarray, put) -> np.ndarray:
         """One path for each occurrence of ``unit``; ``put(occurrences, end, piece)`` gets its pieces. Log-probabilities."""
@@ -158,38 +178,36 @@ class _Group:
             if not len(on):
                 continue
             u = unit[on]
-            total = self.sums[j][u]
-            left = _uniform(K.mix(base[on] + np.uint64(j * 0x9E3779B97F4A7C15 % (1 << 64)))) * total
-            start, piece, chance = np.full(len(on), -1), np.zeros(len(on), np.int64), np.zeros(len(on))
-            for i, w, p in self.edges[j]:
-                mass = self.sums[i][u] * w[u]
-                take = (start < 0) & (mass > 0) & (left < mass)
-                start[take], piece[take], chance[take] = i, p[u[take]], mass[take]
-                left = left - mass
-            lost = np.flatnonzero(start < 0)  # rounding: the last edge that exists
-            for k in lost.tolist():
-                for i, w, p in self.edges[j][::-1]:
-                    if (m := self.sums[i][u[k]] * w[u[k]]) > 0:
-                        start[k], piece[k], chance[k] = i, p[u[k]], m
-                        break
-            put(on, j, piece)
-            log[on] += np.log(chance / total)
-            at[on] = start
+            x = _uniform(K.mix(base[on] + np.uint64(j * 0x9E3779B97F4A7C15 % (1 << 64))))
+            k = np.minimum((x[:, None] >= self.edge[j][u]).sum(1), self.last[j][u])
+            put(on, j, self.piece[j][u, k])
+            log[on] += self.log[j][u, k]
+            at[on] = self.start[j][k]
         return log
 
+    def one(self, u: int) -> list[list[tuple]]:
+        """The edges of one unit, as _One has them."""
+        out: list[list[tuple]] = [[]]
+        for j in range(1, self.size + 1):
+            ks = np.flatnonzero(np.isfinite(self.log[j][u]))
+            out.append([(int(i), float(np.exp(x)), int(p)) for i, x, p in zip(self.start[j][ks].tolist(), self.log[j][u, ks].tolist(), self.piece[j][u, ks].tolist())])
+        return out
+
 
 class _One:
     """The lattice of a single unit, of any length, for draws that leave out paths already found."""
 
-    def __init__(self, v: Vocabulary, chars: list[int]):
-        self.size, self.edges = len(chars), [[] for _ in range(len(chars) + 1)]
+    def __init__(self, v: Vocabulary, chars: list[int], edges: list | None = None):
+        self.size, self.edges = len(chars), edges or [[] for _ in range(len(chars) + 1)]
+        if edges:
+            return
         x = np.array(chars, np.uint64)
         h = np.full(len(x), 0x1234567, np.uint64)
         for step in range(1, min(v.longest, len(x)) + 1):
             n = len(x) - step + 1
             h = v.step(h[:n], x[step - 1 :])
             piece = v.find(K.mix(h))
-            for i in np.flatnonzero(piece >= 0).tolist():
+            for i in np.flatnonzero((piece >= 0) & (piece < v.count)).tolist():
                 self.edges[i + step].append((i, float(v.weight[piece[i]]), int(piece[i])))
         # chances of the edges into each place, from sums kept in scale
         log = [0.0]
@@ -271,17 +289,20 @@ class _Slice:
         up, down = K.WORDS.upto(n + 1)
         prefix = K._prefix(K.mix(cps.astype(np.uint64)), up[:-1])
         names = K.mix((prefix[self.end] - prefix[self.start]) * down[self.start] + self.size.astype(np.uint64))
-        self.groups = []
+        self.groups, self.group, self.unit = [], np.full(len(self.start), -1), np.zeros(len(self.start), np.int64)
         for size in np.unique(self.size[self.plain]).tolist():
             at = np.flatnonzero(self.plain & (self.size == size))
             _, one, unit = np.unique(names[at], return_index=True, return_inverse=True)
             if size > LONG:
                 self.groups.append((at, None, None))
             else:
+                self.group[at], self.unit[at] = len(self.groups), unit
                 self.groups.append((at, _Group(v, cps[self.start[at[one]][:, None] + np.arange(size)]), unit))
 
     def one(self, t: int) -> _One:
-        return _One(self.v, self.cps[self.start[t] : self.end[t]].tolist())
+        chars = self.cps[self.start[t] : self.end[t]].tolist()
+        group = self.groups[self.group[t]][1] if self.group[t] >= 0 else None
+        return _One(self.v, chars, group.one(int(self.unit[t])) if group else None)
 
     def path(self, slots: np.ndarray, t: int) -> list:
         """(end, piece) of a unit's path, from its end."""
@@ -436,7 +457,7 @@ def _encoded(v: Vocabulary, k: int, seed: int):
     def f(batches):
         for batch in batches:
             _, offs = K.text_column(batch.column(1))
-            for i, j in K.row_slices(offs, 1 << 20):
+            for i, j in K.row_slices(offs, 3 << 20):
                 keys, texts = batch.column(0).slice(i, j - i).to_pylist(), [t or "" for t in batch.column(1).slice(i, j - i).to_pylist()]
                 seeds = [_mix1(seed * 0x9E3779B97F4A7C15 + (key if key is not None else int.from_bytes(hashlib.blake2b(t.encode(), digest_size=8).digest(), "little"))) for key, t in zip(keys, texts)]
                 out = {c: [] for c in ("doc_id", "sample", "n_tokens", "log_prob", "perturbed", "inclusion", "ids", "exact")}
