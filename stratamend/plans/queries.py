@@ -236,7 +236,7 @@ def cycle_stats(spark, d):
     return by_page.agg(F.sum("u").alias("upserts"), F.sum("x").alias("deletes"), F.count(F.lit(1)).alias("pages"), F.count_if(~F.col("changed")).alias("pages_skipped"), F.sum("r").alias("records_checked"))
 
 
-@query("SELECT 0 AS upserts, 0 AS deletes")
+@query("SELECT CAST(0 AS BIGINT) AS upserts, CAST(0 AS BIGINT) AS deletes")
 def noop_cycle(spark, d):
     v = _versions(spark, d).where(F.col("txn") > 100000)
     return v.agg(F.count_if(F.col("flags") == 0).alias("upserts"), F.count_if(F.col("flags") == 1).alias("deletes"))
