@@ -50,57 +50,71 @@ def retained(state: DataFrame, live: DataFrame) -> DataFrame:
 
 @dataclass
 class Changes:
+    """A change set, and the state after it: rows of the pages in ``touched`` take the place of what they had."""
+
     upserts: DataFrame
     deletes: DataFrame
     unresolved: DataFrame
+    touched: DataFrame
     page_gens: DataFrame
-    keys: DataFrame
+    keys: DataFrame | None
     stats: DataFrame
 
 
-def scan(versions: DataFrame, key: list[str], watermark: int, page_gens: DataFrame | None = None, keys: DataFrame | None = None, committed: DataFrame | None = None) -> Changes:
+def scan(versions: DataFrame, key: list[str], watermark: int, page_gens: DataFrame | None = None, keys: DataFrame | None = None, committed: DataFrame | None = None, pages: DataFrame | None = None, resolved: bool = False) -> Changes:
     """The changes since a state.
 
     ``versions`` has the metadata columns of the paged source and the table's
     columns; ``page_gens`` (page, gen) and ``keys`` (page, key columns) are the
     state, None at a cold start, which emits no vanished keys; ``committed``
-    (txn) restricts the scan to those transactions.
+    (txn) restricts the scan to those transactions.  With ``pages`` (page, gen)
+    and a state, ``versions`` need not hold the rows of unchanged pages but for
+    their delete stubs; ``resolved`` says that stubs carry their key already.
     """
     columns = [c for c in versions.columns if not c.startswith("_")]
-    missing = [k for k in key if k not in columns]
-    tracked = bool(key) and not missing
-    pages = versions.select(F.col("_page").alias("page"), F.col("_gen").alias("gen")).distinct()
+    tracked = bool(key) and all(k in columns for k in key)
+    if pages is None:
+        pages = versions.select(F.col("_page").alias("page"), F.col("_gen").alias("gen")).distinct()
     seen = versions if committed is None else versions.join(committed.select(F.col("txn").alias("_txn")), "_txn", "left_semi")
     state = page_changes(pages, page_gens)
-    seen = seen.join(state.select(F.col("page").alias("_page"), "changed"), "_page")
+    lost = pages.select("page").limit(0)
+    if page_gens is not None:
+        # pages that have left the table changed too, and hold nothing now
+        lost = page_gens.select("page").join(pages.select("page"), "page", "left_anti")
+    touched = state.where("changed").select("page").unionByName(lost)
+    if keys is None:
+        now_pages = state.select("page")
+    else:
+        now_pages = touched
+    flagged = state.select(F.col("page").alias("_page"), "changed")
+    seen = seen.join(flagged, "_page")
     current = seen.where(~V.has(F.col("_flags"), V.DELETED | V.CHAIN | V.FRAGMENT | V.BLOB) & F.col("_whole"))
     fresh = current.where((F.col("_txn") > watermark) & F.col("changed"))
     upserts = (V.winners(fresh.select("_txn", "_page", "_slot", *columns), key, ["_txn", "_page", "_slot"]) if tracked else fresh).select(*columns)
     stubs = seen.where(V.has(F.col("_flags"), V.DELETED) & (F.col("_txn") > watermark))
-    spark = versions.sparkSession
-    now = current.select(F.col("_page").alias("page"), *key) if tracked else None
+    now = None
     if tracked:
-        stub_keys, unresolved = V.resolve_stubs(stubs, versions, key)
-        gone = stub_keys.select(*key, F.lit("stub").alias("reason"))
+        now = current.select(F.col("_page").alias("page"), *key).join(now_pages, "page", "left_semi").distinct()
+        if resolved:
+            found, unresolved = stubs.where("_whole").select(*key), stubs.where("NOT _whole").select("_txn")
+        else:
+            found, unresolved = V.resolve_stubs(stubs, versions, key)
+        # a key that was deleted and stored again, or has moved, is no delete
+        gone = found.distinct().join(now.select(*key).distinct(), key, "left_anti").select(*key, F.lit("stub").alias("reason"))
         if keys is not None:
-            # pages that have left the table changed too, and hold nothing now
-            lost = keys.select("page").distinct().join(pages.select("page"), "page", "left_anti")
-            changed = state.where("changed").select("page").unionByName(lost)
-            vanished = express_deletes(now.join(changed, "page", "left_semi"), keys, changed, key)
-            gone = gone.unionByName(vanished.select(*key, F.lit("vanished").alias("reason")))
-        # a key deleted and then stored again is an upsert
-        alive = now.select(*key).distinct()
-        deletes = gone.groupBy(*key).agg(F.min("reason").alias("reason")).join(alive, key, "left_anti").select(*key, "reason")
+            suspects = keys.join(touched, "page", "left_semi").select(*key).distinct().join(alive_keys(now, keys, touched, key), key, "left_anti")
+            gone = gone.unionByName(suspects.select(*key, F.lit("vanished").alias("reason")))
+        deletes = gone.groupBy(*key).agg(F.min("reason").alias("reason")).select(*key, "reason")
     else:
-        deletes = spark.createDataFrame([], "reason string")
+        deletes = versions.sparkSession.createDataFrame([], "reason string")
         unresolved = stubs.select("_txn")
-    stats = versions_stats(versions, state, watermark)
-    return Changes(upserts, deletes, unresolved, state.select("page", "gen"), now.distinct() if tracked else spark.createDataFrame([], "page long"), stats)
+    gens = state.where("changed").select("page", "gen")
+    return Changes(upserts, deletes, unresolved, touched, gens, now, _stats(seen, state, watermark))
 
 
-def versions_stats(versions: DataFrame, state: DataFrame, watermark: int) -> DataFrame:
+def _stats(seen: DataFrame, state: DataFrame, watermark: int) -> DataFrame:
     """One row of counters: the greatest transaction, pages seen and skipped, records checked."""
     pages = state.agg(F.count(F.lit(1)).alias("pages"), F.count_if(~F.col("changed")).alias("pages_skipped"))
-    records = versions.join(state.select(F.col("page").alias("_page"), "changed"), "_page").where(F.col("changed") | V.has(F.col("_flags"), V.DELETED))
+    records = seen.where(F.col("changed") | V.has(F.col("_flags"), V.DELETED))
     records = records.agg(F.greatest(F.coalesce(F.max("_txn"), F.lit(watermark)), F.lit(watermark)).alias("max_txn"), F.count(F.lit(1)).alias("records_checked"))
     return pages.join(records, F.lit(True))

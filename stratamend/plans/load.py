@@ -25,6 +25,12 @@ def read_table(spark: SparkSession, path: str, table: str, versions: bool = Fals
     return spark.read.format("paged_file").options(path=path, table=table, versions=str(versions).lower(), **options).load()
 
 
+def read_pages(spark: SparkSession, path: str, table: str) -> DataFrame:
+    """(page, gen) of a table's data pages."""
+    register(spark)
+    return spark.read.format("paged_file").options(path=path, relation="pages", table=table).load().select("page", "gen")
+
+
 def table_ddl(path: str, table: str, unlogged: bool = False) -> str:
     """CREATE TABLE of a table of a paged file."""
     with P.PageFile(path) as f:
@@ -51,7 +57,8 @@ def load_table(spark: SparkSession, path: str, table: str, target: str, state: S
     else:
         from ..operators import changes
 
-        seen = changes.scan(read_table(spark, path, table, versions=True), key, 0)
+        rows = read_table(spark, path, table, versions=True)
+        seen = changes.scan(rows, key, 0, pages=read_pages(spark, path, table))
         store.swap(read_table(spark, path, table))
         state.save(table, seen.stats.first()["max_txn"], generation, seen.page_gens, seen.keys)
     return store.read().count()

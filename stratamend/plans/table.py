@@ -37,8 +37,9 @@ class VersionedTable:
     def _bucket(self) -> Column:
         return F.pmod(F.xxhash64(*self.key), F.lit(self.buckets)).cast("int") if self.key else F.lit(0)
 
-    def read(self, buckets: list[int] | None = None) -> DataFrame:
-        m = self.manifest()
+    def read(self, buckets: list[int] | None = None, manifest: dict | None = None) -> DataFrame:
+        """The current version, or that of a ``manifest``; of some buckets only, if they are given."""
+        m = manifest or self.manifest()
         if m is None:
             raise FileNotFoundError(f"{self.path} has no version yet")
         schema = T.StructType.fromJson(m["schema"])
@@ -53,35 +54,44 @@ class VersionedTable:
         parted.hint("rebalance", "_bucket").write.partitionBy("_bucket").parquet(f"{self.path}/{name}")
         return name, [int(c.split("=")[1]) for c in self.files.children(f"{self.path}/{name}") if c.startswith("_bucket=")]
 
-    def _commit(self, schema: T.StructType, paths: dict, version: int, extra: dict | None = None) -> None:
-        body = {"version": version, "buckets": self.buckets, "schema": schema.jsonValue(), "paths": paths} | (extra or {})
-        self.files.replace(f"{self.path}/_CURRENT", json.dumps(body))
+    def _manifest(self, schema: T.StructType, paths: dict, version: int) -> dict:
+        return {"version": version, "buckets": self.buckets, "schema": schema.jsonValue(), "paths": paths}
 
-    def swap(self, df: DataFrame, **extra) -> int:
-        """The whole table anew."""
-        version = self.version + 1
+    def staged_swap(self, df: DataFrame, version: int = 1) -> dict:
+        """The whole table anew, written but not current: its manifest."""
         name, held = self._write(df)
-        self._commit(df.schema, {str(b): f"{name}/_bucket={b}" for b in held}, version, extra)
-        return version
+        return self._manifest(df.schema, {str(b): f"{name}/_bucket={b}" for b in held}, version)
 
-    def apply(self, upserts: DataFrame, deletes: DataFrame, **extra) -> int:
-        """A change set; only touched buckets are read and written.  Applying it again changes nothing."""
-        m = self.manifest()
-        if m is None:
-            return self.swap(upserts, **extra)
+    def staged(self, m: dict, upserts: DataFrame, deletes: DataFrame) -> dict:
+        """A change set over the version of a manifest; only touched buckets are read and written."""
         keys = upserts.select(*self.key).unionByName(deletes.select(*self.key))
         touched = sorted(r[0] for r in keys.select(self._bucket().alias("b")).distinct().collect())  # at most as many as there are buckets
         if not touched:
-            return m["version"]
-        base = self.read(touched)
+            return m
+        base = self.read(touched, m)
         name, held = self._write(merge.apply_delta(base, upserts.select(*base.columns), deletes, self.key))
         paths = {b: p for b, p in m["paths"].items() if int(b) not in touched} | {str(b): f"{name}/_bucket={b}" for b in held}
-        self._commit(T.StructType.fromJson(m["schema"]), paths, m["version"] + 1, extra)
-        return m["version"] + 1
+        return self._manifest(T.StructType.fromJson(m["schema"]), paths, m["version"] + 1)
+
+    def _commit(self, manifest: dict) -> int:
+        self.files.replace(f"{self.path}/_CURRENT", json.dumps(manifest))
+        return manifest["version"]
+
+    def swap(self, df: DataFrame) -> int:
+        """The whole table anew."""
+        return self._commit(self.staged_swap(df, self.version + 1))
+
+    def apply(self, upserts: DataFrame, deletes: DataFrame) -> int:
+        """A change set.  Applying it again changes nothing."""
+        m = self.manifest()
+        if m is None:
+            return self.swap(upserts)
+        new = self.staged(m, upserts, deletes)
+        return m["version"] if new is m else self._commit(new)
 
-    def vacuum(self) -> None:
-        """Folders that the current version doesn't use; not while others read older ones."""
-        used = {p.split("/")[0] for p in (self.manifest() or {"paths": {}})["paths"].values()}
+    def vacuum(self, manifest: dict | None = None) -> None:
+        """Drops folders that the current version doesn't use; not while others read older ones."""
+        used = {p.split("/")[0] for p in (manifest or self.manifest() or {"paths": {}})["paths"].values()}
         for name in self.files.children(self.path):
             if name.startswith("v-") and name not in used:
                 self.files.delete(f"{self.path}/{name}")

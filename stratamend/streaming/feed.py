@@ -18,10 +18,11 @@ from pyspark.sql.datasource import DataSource, SimpleDataSourceStreamReader
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators import changes, versions
-from ..plans.load import isolated, read_table
+from ..plans.load import isolated, read_pages, read_table
 from ..plans.state import StateStore
 from ..plans.table import VersionedTable
 from ..sources import pagefile as P
+from ..sources.paged import packed
 
 
 class Sink(Protocol):
@@ -82,17 +83,22 @@ class ChangeFeed:
         was = self.state.load(table)
         if was.generation == generation and was.page_gens is not None:
             return {"upserts": 0, "deletes": 0}
-        # decoded once: the scan's branches share it
-        seen = read_table(self.spark, self.path, table, versions=True).persist()
+        # of unchanged pages only delete stubs are decoded
+        options = {"resolve": "true"}
+        if was.page_gens is not None and was.keys is not None:
+            options["known"] = packed((r["page"], r["gen"]) for r in was.page_gens.toLocalIterator())
+        pages = read_pages(self.spark, self.path, table).persist()
+        seen = read_table(self.spark, self.path, table, versions=True, **options).persist()  # decoded once: the scan's branches share it
         try:
-            found = changes.scan(seen, key, was.watermark, was.page_gens, was.keys)
+            found = changes.scan(seen, key, was.watermark, was.page_gens, was.keys, pages=pages, resolved=True)
             n = {"upserts": found.upserts.count(), "deletes": found.deletes.count()}
             if any(n.values()):
                 self.sink.apply(table, key, found.upserts, found.deletes)
-            self.state.save(table, found.stats.first()["max_txn"], generation, found.page_gens, found.keys)
+            self.state.save(table, found.stats.first()["max_txn"], generation, found.page_gens, found.keys, found.touched if was.page_gens is not None else None)
             return n
         finally:
             seen.unpersist()
+            pages.unpersist()
 
     def poll(self) -> dict[str, dict]:
         """One cycle: nothing unless the file has changed since the last; a table that fails is tried again."""

@@ -11,6 +11,7 @@ from stratamend.plans import load
 from stratamend.plans.state import StateStore
 from stratamend.plans.table import VersionedTable
 from stratamend.sources import pagefile as P
+from stratamend.sources.paged import packed
 from stratamend.streaming import feed as S
 
 
@@ -151,6 +152,19 @@ class TestScan:
         assert got.deletes.count() == 0 and got.upserts.count() == 1
 
 
+def test_unchanged_pages_are_not_decoded(tmp_path, spark):
+    """With what is known, a scan reads stubs of unchanged pages, filled from their back version, and all of the others."""
+    path = simple(tmp_path / "f", [(7, [stub(101, (3, 1)), live(50, 42, 1, P.CHAIN), live(60, 1, 1)]), (9, [live(102, 2, 2), stub(103, (0, 0))])])
+    v = load.read_table(spark, path, "t", versions=True, known=packed([(3, 7), (4, 8)]), resolve="true")
+    assert sorted((r._page, r._slot, r._whole, r.id) for r in v.collect()) == [(3, 0, True, 42), (4, 0, True, 2), (4, 1, False, None)]
+    gens, keys = spark.createDataFrame([(3, 7), (4, 8), (5, 1)], "page long, gen long"), spark.createDataFrame([(3, 1), (3, 42), (4, 9), (5, 77)], "page long, id int")
+    c = changes.scan(v, ["id"], 100, gens, keys, pages=load.read_pages(spark, path, "t"), resolved=True)
+    assert [tuple(r) for r in c.upserts.collect()] == [(2, 2)]
+    assert sorted(map(tuple, c.deletes.collect())) == [(9, "vanished"), (42, "stub"), (77, "vanished")]
+    assert sorted(r.page for r in c.touched.collect()) == [4, 5] and [tuple(r) for r in c.keys.collect()] == [(4, 2)]
+    assert c.stats.first().pages_skipped == 1 and c.unresolved.count() == 1
+
+
 class World:
     """A table that changes by transactions, and its file."""
 
