@@ -43,10 +43,6 @@ def frame(spark):
     return make
 
 
-def rows_of(df):
-    return sorted((tuple(r) for r in df.collect()), key=repr)
-
-
 @pytest.fixture(scope="session")
 def sample():
     """The documents of the smallest driver tables, if they are there."""

@@ -1,6 +1,6 @@
 import numpy as np
 import pytest
-from conftest import rows_of
+from llm_helpers import rows_of
 
 from stratamend.llm import kernels as K
 from stratamend.llm.anchors import repeated_windows

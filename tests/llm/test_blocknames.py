@@ -1,5 +1,5 @@
 import pytest
-from conftest import rows_of
+from llm_helpers import rows_of
 
 import brute
 from stratamend.llm.blocknames import exact_groups

@@ -2,7 +2,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
-from conftest import rows_of
+from llm_helpers import rows_of
 
 from stratamend.llm.lattice import MARK, Vocabulary, _One, decode, encode, sample
 

@@ -1,5 +1,5 @@
 import numpy as np
-from conftest import rows_of
+from llm_helpers import rows_of
 
 import brute
 from stratamend.llm.linefilter import Cuckoo, LineIndex, common_lines_dropped

@@ -1,7 +1,7 @@
 import numpy as np
 import pyarrow as pa
 import pytest
-from conftest import rows_of
+from llm_helpers import rows_of
 
 from stratamend.llm import kernels as K
 from stratamend.llm import mil

@@ -2,7 +2,7 @@ import random
 
 import numpy as np
 import pytest
-from conftest import rows_of
+from llm_helpers import rows_of
 
 import brute
 from stratamend.llm import ngram_join as J
