@@ -1,26 +1,22 @@
 """Training-order materialisation: fixed-length sequences in keyed random order.
 
 Documents become token ids, and these become sequences of ``length`` tokens
-(the last of a document is padded).  Sequences are numbered from 0 in the
-order of (document key, part); a keyed Feistel network over the next power of
-four, walked until it lands below the count, is a permutation of the numbers,
-so every sequence has a slot of its own and the order is a function of the key
-alone: no random state, no sort of the corpus in a single place, and slot and
-number give each other back.
+(the last of a document is padded).  The ids are written once, compressed, to
+the shared folder; sequences are numbered from 0 in the order of that table:
+each task numbers its own, and the tasks' counts (one number each) give the
+offsets.  A keyed Feistel network over the next power of four, walked until it
+lands below the count, is a permutation of the numbers, so every sequence has
+a slot of its own: no random state, no sort of the corpus in a single place,
+and slot and number give each other back.
 
 Slots are cut into shards of ``per_shard``.  A shard's rows have a fixed
 stride and are stored in slot order, so slot s is row s % per_shard of shard
 s // per_shard: a reader opens one shard after the other, and resumes from a
-slot number alone.
+slot number alone.  One shuffle, by shard, moves the sequences.
 
-Token ids are written once to the shared folder (compressed), the counts of
-each key range give the numbering, and one shuffle by shard moves the
-sequences.
-
-Rows: null and empty text gives no sequence.  Null ids come first, ordered by
-the text's hash; repeated rows give a sequence each, in any order (their
-tokens are equal where the texts are).  An empty table gives an empty result.
-Extra columns are ignored.
+Rows: null and empty text gives no sequence.  Repeated rows and null ids are
+documents of their own.  An empty table gives an empty result.  Extra columns
+are ignored.  The same table in other partitions is numbered in another order.
 """
 
 from __future__ import annotations
@@ -30,6 +26,7 @@ import base64
 import numpy as np
 import pyarrow as pa
 import zstandard
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -97,37 +94,41 @@ class Tokenizer:
 
 
 def _tokens(tokenizer: Tokenizer, length: int):
-    """One row a document: its sequences' ids, compressed together."""
+    """One row a document: its sequences' ids, compressed together, and the number of its first within the task."""
 
     def f(batches):
         enc, pack = tokenizer.encoder(), zstandard.ZstdCompressor(level=1)
+        task, done = TaskContext.get().partitionId(), 0
         for batch in batches:
-            _, offs = K.text_column(batch.column(2))
+            _, offs = K.text_column(batch.column(1))
             for i, j in K.row_slices(offs, 1 << 20):
-                texts = batch.column(2).slice(i, j - i).to_pylist()
+                texts = batch.column(1).slice(i, j - i).to_pylist()
                 ids = [np.array(enc.encode_ordinary(t), np.uint16 if tokenizer.pad < 1 << 16 else np.uint32) if t else None for t in texts]
                 keep = [k for k, x in enumerate(ids) if x is not None and len(x)]
+                parts = np.array([-(-len(ids[k]) // length) for k in keep], np.int64)
                 yield pa.record_batch(
                     {
-                        "key": batch.column(0).slice(i, j - i).take(pa.array(keep, pa.int64())),
-                        "doc_id": batch.column(1).slice(i, j - i).take(pa.array(keep, pa.int64())),
-                        "parts": pa.array([-(-len(ids[k]) // length) for k in keep], pa.int64()),
+                        "task": pa.array(np.full(len(keep), task), pa.int64()),
+                        "first": pa.array(done + np.cumsum(parts) - parts),
+                        "doc_id": batch.column(0).slice(i, j - i).take(pa.array(keep, pa.int64())),
+                        "parts": pa.array(parts),
                         "size": pa.array([len(ids[k]) for k in keep], pa.int64()),
                         "ids": pa.array([pack.compress(ids[k].tobytes()) for k in keep], pa.binary()),
                     }
                 )
+                done += int(parts.sum())
 
     return f
 
 
-def _placed(order: Feistel, dtype, pad: int, length: int, per_shard: int):
+def _placed(order: Feistel, base: np.ndarray, dtype, length: int, per_shard: int):
     """A row for each sequence, with its slot; tokens still compressed."""
 
     def f(batches):
         unpack, pack = zstandard.ZstdDecompressor(), zstandard.ZstdCompressor(level=1)
         for batch in batches:
-            doc, first, parts, size, ids = (batch.column(k) for k in range(5))
-            first, parts = first.to_numpy(), parts.to_numpy()
+            task, first, doc, parts, size, ids = batch.columns
+            first, parts = base[task.to_numpy()] + first.to_numpy(), parts.to_numpy()
             owner = np.repeat(np.arange(len(parts)), parts)
             part = np.arange(len(owner)) - np.repeat(np.cumsum(parts) - parts, parts)
             slot = order.slot(first[owner] + part)
@@ -162,59 +163,20 @@ def training_order(docs: DataFrame, tokenizer: Tokenizer, key: int, length: int
     """All sequences as RESULT: tokens is the fixed-stride row, little-endian, padded with ``tokenizer.pad``."""
     spark, dtype = docs.sparkSession, np.uint16 if tokenizer.pad < 1 << 16 else np.uint32
     body = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
-    body = body.select(F.coalesce("doc_id", F.lit(-(1 << 62)) - F.expr("xxhash64(text) & 1152921504606846975")).alias("key"), "doc_id", "text")
-    rows = X.stored(body.mapInArrow(_tokens(tokenizer, length), "key long, doc_id long, parts long, size long, ids binary"), "tokens")
-    numbered, total = _numbered(rows)
-    placed = numbered.select("doc_id", "first", "parts", "size", "ids").mapInArrow(_placed(Feistel(total, key), dtype, tokenizer.pad, length, per_shard), RESULT)
+    rows = X.stored(body.mapInArrow(_tokens(tokenizer, length), "task long, first long, doc_id long, parts long, size long, ids binary"), "tokens")
+    # one number for each task that wrote the table
+    counts = {r["task"]: r["n"] for r in rows.groupBy("task").agg(F.sum("parts").alias("n")).collect()}
+    sizes = np.zeros(max(counts, default=0) + 1, np.int64)
+    for task, n in counts.items():
+        sizes[task] = n
+    total = int(sizes.sum())
+    placed = rows.mapInArrow(_placed(Feistel(total, key), np.cumsum(sizes) - sizes, dtype, length, per_shard), RESULT)
     shards = max(1, -(-total // per_shard))
     # whole shards to a partition, each in slot order
     dealt = placed.repartitionByRange(min(shards, 4 * X.partitions(spark)), "shard").sortWithinPartitions("slot")
     return dealt.mapInArrow(_padded(dtype, tokenizer.pad, length), RESULT)
 
 
-def _numbered(rows: DataFrame) -> tuple[DataFrame, int]:
-    """``rows`` with ``first``, the number of their first sequence in the order of the key; and the number of all.
-
-    Only the narrow columns are ordered: ranges of keys are counted, the
-    ranges' running sums (one row for each partition) go back as a small
-    table, and the numbers are joined to the tokens by key.
-    """
-    spark = rows.sparkSession
-    thin = rows.groupBy("key").agg(F.sum("parts").alias("parts"), F.count(F.lit(1)).alias("rows"))
-    thin = X.stored(thin.repartitionByRange(X.partitions(spark), "key").sortWithinPartitions("key").withColumn("range", F.spark_partition_id()), "keys")
-    sums = {r["range"]: r["n"] for r in thin.groupBy("range").agg(F.sum("parts").alias("n")).collect()}
-    base, total = {}, 0
-    for k in sorted(sums):
-        base[k], total = total, total + sums[k]
-    if not total:
-        return rows.withColumn("first", F.lit(0).cast("long")), 0
-
-    def running(batches):
-        at: dict[int, int] = {}
-        for batch in batches:
-            r, n = batch.column(0).to_numpy(), batch.column(2).to_numpy()
-            first = np.empty(len(r), np.int64)
-            for k in np.unique(r).tolist():
-                on = r == k
-                c = np.cumsum(n[on])
-                first[on] = at.get(k, base[k]) + c - n[on]
-                at[k] = at.get(k, base[k]) + int(c[-1])
-            yield pa.record_batch({"key": batch.column(1), "first": pa.array(first)})
-
-    # a range is in one file, perhaps cut for reading: bring it together again, in order
-    firsts = thin.select("range", "key", "parts").repartition("range").sortWithinPartitions("range", "key").mapInArrow(running, "key long, first long")
-    out = rows.join(firsts, "key")
-    # rows that repeat a key follow one another
-    twice = thin.where("rows > 1").select("key")
-    if twice.isEmpty():
-        return out, total
-    from pyspark.sql import Window
-
-    again = out.join(twice, "key", "left_semi").withColumn("before", F.coalesce(F.sum("parts").over(Window.partitionBy("key").orderBy("size", "ids").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    again = again.withColumn("first", F.col("first") + F.col("before")).drop("before")
-    return out.join(twice, "key", "left_anti").unionByName(again), total
-
-
 def write_shards(rows: DataFrame, path: str) -> None:
     """Shards as Parquet folders ``shard=N`` of rows in slot order: each holds the fixed-stride rows of its slots."""
     rows.write.partitionBy("shard").option("compression", "zstd").parquet(path)

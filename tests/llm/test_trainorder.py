@@ -20,21 +20,24 @@ def test_permutation(n):
         assert (Feistel(n, 1).slot(np.arange(n)) != Feistel(n, 2).slot(np.arange(n))).mean() > 0.9
 
 
-def brute(docs, tok, key, length):
+def brute(docs, tok, length):
     enc, rows = tok.encoder(), []
-    for i, t in sorted((d for d in docs if d[0] is not None and d[1]), key=lambda d: d[0]):
-        ids = enc.encode_ordinary(t)
-        rows += [(i, p // length, ids[p : p + length]) for p in range(0, len(ids), length)]
-    f = Feistel(len(rows), key)
-    return sorted((int(s), i, p, len(x), np.array(x + [tok.pad] * (length - len(x)), np.uint16).tobytes()) for s, (i, p, x) in zip(f.slot(np.arange(len(rows))), rows))
+    for i, t in docs:
+        ids = enc.encode_ordinary(t or "")
+        rows += [(i, p // length, len(ids[p : p + length]), np.array(ids[p : p + length] + [tok.pad] * (length - len(ids[p : p + length])), np.uint16).tobytes()) for p in range(0, len(ids), length)]
+    return rows
 
 
 @pytest.mark.parametrize("length", [16, 1024])
 def test_against_brute_force(frame, planted, tok, length):
     docs = [d for d in planted if d[0] is not None]
     got = training_order(frame(docs), tok, 5, length, 8).collect()
-    assert sorted((r.slot, r.doc_id, r.part, r.n_tokens, bytes(r.tokens)) for r in got) == brute(docs, tok, 5, length)
-    assert all(r.shard == r.slot // 8 for r in got)
+    want = brute(docs, tok, length)
+    assert sorted((r.doc_id, r.part, r.n_tokens, bytes(r.tokens)) for r in got) == sorted(want)
+    # the slots are the permutation of a numbering in which a document's sequences follow one another
+    assert sorted(r.slot for r in got) == list(range(len(want))) and all(r.shard == r.slot // 8 for r in got)
+    number = {(r.doc_id, r.part): int(n) for r, n in zip(got, Feistel(len(want), 5).number([r.slot for r in got]))}
+    assert all(n == number[i, 0] + p for (i, p), n in number.items())
 
 
 def test_round_trip_and_resume(spark, frame, planted, tok, tmp_path):
