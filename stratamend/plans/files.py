@@ -28,7 +28,7 @@ class Files:
             stream.close()
 
     def replace(self, path: str, text: str) -> None:
-        """Writes beside ``path`` and renames over it: a reader sees the old text or the new."""
+        """Writes beside ``path`` and renames over it: a reader sees the old text or the new, wherever the store renames atomically."""
         fs, p = self._at(path)
         tmp = self.jvm.org.apache.hadoop.fs.Path(path + ".tmp")
         out = fs.create(tmp, True)

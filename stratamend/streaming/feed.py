@@ -8,6 +8,7 @@ appear later and new columns are found.
 
 from __future__ import annotations
 
+import json
 import time
 from collections.abc import Callable
 from typing import Protocol
@@ -18,6 +19,7 @@ from pyspark.sql.datasource import DataSource, SimpleDataSourceStreamReader
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators import changes, versions
+from ..plans.files import Files
 from ..plans.load import isolated, read_pages, read_table
 from ..plans.state import StateStore
 from ..plans.table import VersionedTable
@@ -47,20 +49,65 @@ class TableSink:
 
 
 class LandingSink:
-    """Leaves change sets as files for a tenant's gateway, which applies them in order."""
+    """Leaves change sets as files for a tenant's gateway, which applies them in order.
+
+    A set's ``_META`` is written last: without it the set isn't there yet.
+    """
 
     def __init__(self, spark: SparkSession, path: str, tenant: str):
-        self.spark, self.path = spark, f"{path}/tenant={tenant}"
+        self.spark, self.path, self.files = spark, f"{path.rstrip('/')}/tenant={tenant}", Files(spark)
 
-    def apply(self, table: str, key: list[str], upserts: DataFrame, deletes: DataFrame) -> None:
+    def _leave(self, table: str, key: list[str], parts: dict[str, DataFrame]) -> None:
         at = f"{self.path}/{table.lower()}/{time.time_ns():020d}"
-        upserts.write.parquet(f"{at}/upserts")
-        deletes.select(*key).write.parquet(f"{at}/deletes")
+        for name, df in parts.items():
+            df.write.parquet(f"{at}/{name}")
+        self.files.replace(f"{at}/_META", json.dumps({"table": table.lower(), "key": key, "parts": sorted(parts)}))
+
+    def apply(self, table: str, key: list[str], upserts: DataFrame, deletes: DataFrame) -> None:
+        self._leave(table, key, {"upserts": upserts, "deletes": deletes.select(*key)})
+
+    def full(self, table: str, key: list[str], rows: DataFrame) -> None:
+        """A whole table, which the gateway swaps in."""
+        self._leave(table, key, {"full": rows})
 
     def reconnect(self) -> None:
         pass
 
 
+class Gateway:
+    """Applies what tenants left to their databases; what an unknown tenant left is refused and stays."""
+
+    def __init__(self, spark: SparkSession, path: str, registry: dict[str, str], target: str):
+        self.spark, self.path, self.registry, self.target, self.files = spark, path.rstrip("/"), registry, target.rstrip("/"), Files(spark)
+
+    def poll(self) -> tuple[int, list[str]]:
+        """(sets applied, tenants refused).  A set is removed once it is applied, so a crash applies it again."""
+        done, refused = 0, []
+        for folder in self.files.children(self.path):
+            tenant = folder.removeprefix("tenant=")
+            if not folder.startswith("tenant="):
+                continue
+            if tenant not in self.registry:
+                refused.append(tenant)
+                continue
+            for table in self.files.children(f"{self.path}/{folder}"):
+                for name in self.files.children(f"{self.path}/{folder}/{table}"):
+                    at = f"{self.path}/{folder}/{table}/{name}"
+                    meta = self.files.read(f"{at}/_META")
+                    if meta is None:
+                        break  # still being written: later sets wait for it
+                    body = json.loads(meta)
+                    to = VersionedTable(self.spark, f"{self.target}/{self.registry[tenant]}/{table}", body["key"])
+                    read = lambda part: self.spark.read.parquet(f"{at}/{part}")  # noqa: E731, B023
+                    if "full" in body["parts"]:
+                        to.swap(read("full"))
+                    else:
+                        to.apply(read("upserts"), read("deletes"))
+                    self.files.delete(at)
+                    done += 1
+        return done, refused
+
+
 class ChangeFeed:
     def __init__(self, spark: SparkSession, path: str, sink: Sink, state: StateStore, tables: list[str] | None = None):
         self.spark, self.path, self.sink, self.state, self.only = spark, path, sink, state, tables

@@ -269,11 +269,18 @@ def test_state_that_cannot_be_read(tmp_path, spark):
     assert s.load("t").watermark == 0
 
 
-def test_landing(tmp_path, spark):
-    path = simple(tmp_path / "f", [(1, [live(5, 1, 1)])])
-    S.ChangeFeed(spark, path, S.LandingSink(spark, str(tmp_path / "land"), "acme"), StateStore(spark, str(tmp_path / "state"))).poll()
-    (one,) = (tmp_path / "land/tenant=acme/t").iterdir()
-    assert [tuple(r) for r in spark.read.parquet(str(one / "upserts")).collect()] == [(1, 1)]
+def test_landing_and_gateway(tmp_path, spark):
+    path = simple(tmp_path / "f", [(1, [live(5, 1, 1), live(5, 2, 2)])])
+    sink = S.LandingSink(spark, str(tmp_path / "land"), "acme")
+    sink.full("T", ["id"], spark.createDataFrame([(2, 0), (9, 9)], "id int, valor int"))
+    S.ChangeFeed(spark, path, sink, StateStore(spark, str(tmp_path / "state"))).poll()
+    sink.apply("T", ["id"], spark.createDataFrame([], "id int, valor int"), spark.createDataFrame([(1,)], "id int"))
+    S.LandingSink(spark, str(tmp_path / "land"), "stranger").full("T", ["id"], spark.createDataFrame([(1, 1)], "id int, valor int"))
+    (tmp_path / "land/tenant=acme/t/99999999999999999999/upserts").mkdir(parents=True)  # a set that isn't complete
+    g = S.Gateway(spark, str(tmp_path / "land"), {"acme": "replica_acme"}, str(tmp_path / "db"))
+    assert g.poll() == (3, ["stranger"]) and g.poll() == (0, ["stranger"])
+    got = VersionedTable(spark, str(tmp_path / "db/replica_acme/t"), ["id"]).read()
+    assert sorted(map(tuple, got.collect())) == [(2, 2), (9, 9)]
 
 
 def test_command_line(tmp_path, spark, capsys):
