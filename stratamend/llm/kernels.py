@@ -9,9 +9,16 @@ batches with ``row_slices``; a single document is never cut.
 
 from __future__ import annotations
 
+import ctypes
+
 import numpy as np
 import pyarrow as pa
 
+try:
+    _TRIM = ctypes.CDLL(None).malloc_trim
+except (AttributeError, OSError):  # another C library
+    _TRIM = None
+
 U64 = np.uint64
 SPACE = b" \t\n\x0b\x0c\r"
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -76,13 +83,21 @@ def text_column(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data[offs[0] : offs[-1]], offs - offs[0]
 
 
-def row_slices(offs: np.ndarray, most: int = 1 << 20):
+def release() -> None:
+    """Gives memory that was freed back to the system, so that idle workers are small."""
+    pa.default_memory_pool().release_unused()
+    if _TRIM:
+        _TRIM(0)
+
+
+def row_slices(offs: np.ndarray, most: int = (1 << 19) - 8):
     """Ranges of rows of at most ``most`` bytes each, or of one row."""
     i, n = 0, len(offs) - 1
     while i < n:
         j = max(i + 1, int(np.searchsorted(offs, offs[i] + most, "right")) - 1)
         yield i, min(j, n)
         i = j
+    release()
 
 
 def word_spans(buf: np.ndarray, offs: np.ndarray, is_word: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
