@@ -6,31 +6,37 @@ from pyspark.sql import DataFrame, SparkSession
 
 from stratamend.llm import blocknames, exchange, lattice, mil, ngram_join, winnow
 from stratamend.llm.queries import PIECES
+from stratamend.ship import ship
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier, learnt from ``labels``, doesn't reject."""
+    ship(spark)
     model = mil.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"), "quality")
     return mil.keep(docs, model, threshold=0.3)
 
 
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of documents that are equal but for the case of A-Z, that with the largest id."""
+    ship(spark)
     return blocknames.one_of_each(docs)
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of documents linked by five-word shingles at a similarity of 0.8 or more, that with the least id."""
+    ship(spark)
     return ngram_join.one_of_each(docs, percent=80, n=5)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents of which less than a twentieth lies in 13-word windows of the benchmark."""
+    ship(spark)
     return winnow.decontaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), window=13)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Two sampled segmentations of each document."""
+    ship(spark)
     return lattice.encode(docs, lattice.Vocabulary.load(PIECES), k=2, seed=1)
 
 

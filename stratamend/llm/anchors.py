@@ -84,7 +84,7 @@ def _windows(first: np.ndarray, hashes: np.ndarray, shared: np.ndarray, window:
         return none, none.astype(np.uint64), none.astype(np.uint64)
     row = _owners(first)[: len(anchors)]
     at = np.flatnonzero(np.isin((np.arange(len(anchors)) - first[row]) % period, cover) & K.inside(first, width, len(anchors)))
-    at = at[K.member(anchors[at], shared)]
+    at = at[X.is_told(anchors[at], shared)]
     n = len(hashes) - window + 1
     if n <= 0 or not len(at):
         return none, none.astype(np.uint64), none.astype(np.uint64)
@@ -116,13 +116,13 @@ def repeated_windows(docs: DataFrame, window: int = 50, id_col: str = "doc_id",
             names = K.word_windows(hashes, width)
             row = _owners(first)[: len(names)]
             at = np.flatnonzero(np.isin((np.arange(len(names)) - first[row]) % period, cover) & K.inside(first, width, len(names)))
-            got.append(names[at])
+            got.append(X.clipped(names[at]))
             owner.append(ids[row[at]])
         names, least, most = _distinct(np.concatenate(got), np.concatenate(owner)) if got else (np.zeros(0, np.uint64),) * 3
-        return X.pack(_chunk_id(t), names, n_anchor, (least != most).astype(np.uint8))
+        return X.pack(_chunk_id(t), X.flagged(names, least != most), n_anchor)
 
     def windows(t: pa.Table, told: pa.Table) -> pa.Table:
-        shared, got, again, owner = X.gathered(told, 1), [], [], []
+        shared, got, again, owner = X.told_names(told, 1), [], [], []
         for ids, _, _, _, _, first, hashes in _Chunk(t):
             p, a, b = _windows(first, hashes, shared, window, cover, period)
             got.append(a)
@@ -160,7 +160,7 @@ def repeated_windows(docs: DataFrame, window: int = 50, id_col: str = "doc_id",
         return X.reply(rows)
 
     def cut(t: pa.Table, told: pa.Table) -> pa.Table:
-        shared = X.gathered(told, 1)
+        shared = X.told_names(told, 1)
         names, value = X.gathered(told, 2, [("b", "<u8"), ("least", "<i8")])
         order = np.lexsort((value["b"], names))
         names, value = names[order], value[order]

@@ -149,7 +149,7 @@ def identities(docs: DataFrame, id_col: str = "doc_id", text: str = "text", bloc
     """(row, doc_id, tag, sha, blocks, name), with the hash of the text as it is for a tag: equal (blocks, name) means equal texts, and the other way round."""
     body = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text")).withColumn("tag", F.xxhash64("text"))
     left = _round(body.mapInArrow(_documents(block), _ROWS)).withColumn("blocks", F.expr("octet_length(symbols) div 8"))
-    left = X.stored(left, "names")
+    left = X.stored(left, "names", narrow=True)
     most, done = left.agg(F.max("blocks")).first()[0] or 1, left.where("blocks = 1")
     sizes, left = left.where("blocks > 1").select("row", "blocks"), left.where("blocks > 1").drop("blocks")
     levels = (most - 1).bit_length()

@@ -62,11 +62,24 @@ def scratch_dir(spark: SparkSession) -> str:
     return at
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written as a table in the shared folder and read back, which cuts its lineage; it goes when Python ends."""
-    spark = df.sparkSession
+def stored(df: DataFrame, name: str, batch: int | None = None, narrow: bool = False) -> DataFrame:
+    """``df`` written as a table in the shared folder and read back, which cuts its lineage; it goes when Python ends.
+
+    ``batch`` bounds the rows that travel to Python at once, for wide rows.
+    ``narrow`` says that the rows are a small part of what the stage before
+    them handles: a small shuffle then leaves a file for 16 partitions, not one
+    for each.
+    """
+    spark, conf = df.sparkSession, "spark.sql.execution.arrow.maxRecordsPerBatch"
     path = f"{scratch_dir(spark).rstrip('/')}/stratamend-{name}-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
+    was = spark.conf.get(conf)
+    if batch:
+        spark.conf.set(conf, str(batch))
+    try:
+        out = df.repartition(max(1, partitions(spark) // 16)) if narrow else df
+        out.write.option("compression", "zstd").parquet(path)
+    finally:
+        spark.conf.set(conf, was)
     atexit.register(_drop, spark, path)
     return spark.read.schema(df.schema).parquet(path)
 
@@ -117,17 +130,30 @@ def gathered(t: pa.Table, kind: int, dtype=None):
     return names[order], np.concatenate([np.zeros(0, dtype), *unpack(t, "extra", dtype)])[order]
 
 
+def clipped(names: np.ndarray) -> np.ndarray:
+    """Names without their lowest bit, which flags those that a chunk holds twice."""
+    return names & ~np.uint64(1)
+
+
+def flagged(names: np.ndarray, twice: np.ndarray) -> np.ndarray:
+    return names | twice.astype(np.uint64)
+
+
 def shared_names(kind: int):
-    """For groupBy(bucket).applyInArrow: tells each chunk which of its names another chunk holds too, or itself holds twice (extra = 1)."""
+    """For groupBy(bucket).applyInArrow: tells each chunk which of its flagged names another chunk holds too, or itself holds twice.
+
+    The answer has the names' upper halves: in a chunk's few names, one that is
+    told by mistake is rare, and only adds a candidate.
+    """
 
     def f(t: pa.Table) -> pa.Table:
-        names, twice = unpack(t, "names", np.uint64), unpack(t, "extra", np.uint8)
+        names = unpack(t, "names", np.uint64)
         every = np.concatenate(names)
         order = np.argsort(every, kind="stable")
-        s = every[order]
+        s = clipped(every[order])
         first = np.flatnonzero(np.concatenate([[True], s[1:] != s[:-1]]))
         size = np.diff(np.append(first, len(s)))
-        many = (size > 1) | (np.maximum.reduceat(np.concatenate(twice)[order], first) > 0)
+        many = (size > 1) | (np.maximum.reduceat(every[order] & np.uint64(1), first) > 0)
         back = np.empty(len(s), bool)
         back[order] = np.repeat(many, size)
         rows, at = [], 0
@@ -135,7 +161,21 @@ def shared_names(kind: int):
             hit = n[back[at : at + len(n)]]
             at += len(n)
             if len(hit):
-                rows.append((chunk, kind, hit.tobytes(), None))
+                rows.append((chunk, kind, (hit >> np.uint64(32)).astype(np.uint32).tobytes(), None))
         return reply(rows)
 
     return f
+
+
+def told_names(t: pa.Table, kind: int) -> np.ndarray:
+    """What ``shared_names`` told a chunk, sorted."""
+    t = t.filter(pa.array(np.asarray(t.column("kind")) == kind)) if t.num_rows else t
+    return np.unique(np.concatenate([np.zeros(0, np.uint32), *unpack(t, "names", np.uint32)]))
+
+
+def is_told(names: np.ndarray, told: np.ndarray) -> np.ndarray:
+    x = (names >> np.uint64(32)).astype(np.uint32)
+    if not len(told) or not len(x):
+        return np.zeros(len(x), bool)
+    at = np.minimum(np.searchsorted(told, x), len(told) - 1)
+    return told[at] == x

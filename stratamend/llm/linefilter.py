@@ -166,13 +166,13 @@ class LineIndex:
         fresh = docs.select(F.col(text).cast("string").alias("text")).mapInArrow(_keys(self.shards), REFS)
         both = self.refs.select("*", F.lit(0).alias("step")).unionByName(fresh.select("shard", "a", "b", F.lit(0).cast("long").alias("n"), (F.col("n") * sign).alias("step")))
         sums = both.groupBy("shard", "a", "b").agg(F.sum("n").alias("was"), F.sum(F.col("n") + F.col("step")).alias("n"))
-        sums = X.stored(sums, "refs")
+        sums = X.stored(sums, "refs", narrow=True)
         limit = self.min_docs
         now, before = F.col("n") >= limit, F.col("was") >= limit
         keys = sums.where(now | before).select("shard", "a", "b", now.alias("now"), before.alias("before"))
         filters = keys.groupBy("shard").cogroup(self.filters.groupBy("shard")).applyInArrow(_updated, FILTERS)
         refs = sums.where("n > 0").select("shard", "a", "b", "n")
-        return LineIndex(self.spark, limit, self.shards, refs, X.stored(filters, "filters"))
+        return LineIndex(self.spark, limit, self.shards, refs, X.stored(filters, "filters", narrow=True))
 
     def insert(self, docs: DataFrame, text: str = "text") -> LineIndex:
         return self._changed(docs, 1, text)

@@ -7,11 +7,11 @@ partners that can reach the threshold; those are verified on the sets.
 
 So that linked documents meet without a search of all against all, sets also
 leave marks: two sets whose Jaccard similarity reaches the threshold differ in
-at most T n-grams, so if n-grams are dealt into T + 2 groups, two groups are
-the same in both.  The hash of a group's n-grams is a mark, and linked sets
+at most T n-grams, so if n-grams are dealt into T + 1 + e groups, e + 1 groups
+are the same in both.  The hash of a group's n-grams is a mark, and linked sets
 share one (T follows from the size; a set marks its own size class and the
 one below).  A group empty in both says nothing: marks of empty groups are left
-only by sets with two of them or more.
+only by sets with more than e of them, and e is chosen so that these are rare.
 
 Equal sets are one node.  Of the nodes with a common mark, each is first held
 against the block's least (salted by key, so a hot mark is spread).  Blocks
@@ -46,6 +46,8 @@ GROUPS = 256
 FANOUT = 16
 #: Rows of one block that meet in one search, on either side; a larger block is dealt into cells.
 TILE = 512
+#: Pairs of sets that travel to Python at once.
+WIDE = 256
 _CAND = "key long, n int, marks array<long>, vector binary, grams binary"
 
 
@@ -69,26 +71,38 @@ class Levels:
     """Size classes whose neighbours hold all partners of a set, and the groups of each."""
 
     def __init__(self, percent: int):
-        self.percent, self.low, self.groups = percent, [1], []
+        self.percent, self.low, self.groups = percent, [1], []  # class limits; (groups, spare) of each class
 
     def of(self, n: int) -> int:
         while self.low[-1] <= n:
             self.low.append(self.low[-1] * 100 // self.percent + 1)
         return int(np.searchsorted(self.low, n, "right")) - 1
 
-    def count(self, level: int) -> int:
-        """T + 2 groups for pairs whose smaller set is in this class; 0 where only equal sets link."""
+    def count(self, level: int) -> tuple[int, int]:
+        """(groups, spare) for pairs whose smaller set is in this class; no groups where only equal sets link.
+
+        Linked sets differ in at most T n-grams, so T + 1 + spare groups leave
+        spare + 1 the same in both.  ``spare`` is more than a set of this size
+        has empty groups, but for rare ones.
+        """
         while len(self.low) < level + 2:
             self.of(self.low[-1])
-        small = self.low[level + 1] - 1
-        most = (small + small * 100 // self.percent) * (100 - self.percent) // (100 + self.percent)
-        return most + 2 if most else 0
+        while len(self.groups) <= level:
+            least, small = self.low[len(self.groups)], self.low[len(self.groups) + 1] - 1
+            most, spare = (small + small * 100 // self.percent) * (100 - self.percent) // (100 + self.percent), 1
+            while True:
+                empty = (most + 1 + spare) * np.exp(-least / (most + 1 + spare))
+                if spare >= empty + 4 * empty**0.5 or spare > most + 8:
+                    break
+                spare += 1
+            self.groups.append((most + 1 + spare if most else 0, spare))
+        return self.groups[level]
 
 
 def marks_of(grams: np.ndarray, levels: Levels) -> np.ndarray:
     own, out = levels.of(len(grams)), []
     for level in (own, own - 1):
-        g = levels.count(level) if level >= 0 else 0
+        g, spare = levels.count(level) if level >= 0 else (0, 0)
         if not g:
             continue
         h = K.mix(grams + np.uint64(level * 0x9E3779B97F4A7C15 % (1 << 64)))
@@ -99,7 +113,7 @@ def marks_of(grams: np.ndarray, levels: Levels) -> np.ndarray:
         names, held = np.zeros(g, np.uint64), np.zeros(g, bool)
         names[group[at]], held[group[at]] = np.add.reduceat(h, at), True
         names = K.mix(names + K.mix(np.arange(g, dtype=np.uint64) + np.uint64(level << 32)))
-        out.append(names if (~held).sum() >= 2 else names[held])
+        out.append(names if (~held).sum() > spare else names[held])
     return np.unique(np.concatenate(out)) if out else np.zeros(0, np.uint64)
 
 
@@ -210,7 +224,7 @@ def jaccard_components(docs: DataFrame, percent: int = 90, n: int = 3, id_col: s
             a[r], b[r] = (int.from_bytes(x, "little", signed=True) for x in (d[:8], d[8:]))
         return pa.table({"chunk": t.column("chunk"), "key": t.column("key"), "nameless": t.column("nameless"), "n": pa.array(size, pa.int32()), "a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
-    every = X.stored(chunks.groupBy("chunk").applyInArrow(prints, "chunk int, key long, nameless boolean, n int, a long, b long"), "sets")
+    every = X.stored(chunks.groupBy("chunk").applyInArrow(prints, "chunk int, key long, nameless boolean, n int, a long, b long"), "sets", narrow=True)
     # equal sets: the least key stands for all
     leads = every.where("n > 0").groupBy("a", "b").agg(F.min(F.struct("key", "chunk")).alias("lead"))
     reps = leads.select(F.col("lead.chunk").alias("chunk"), F.col("lead.key").alias("key"))
@@ -220,15 +234,15 @@ def jaccard_components(docs: DataFrame, percent: int = 90, n: int = 3, id_col: s
         keys = t.column("key").to_pylist()
         for r, grams in _sets(t, n):
             if keys[r] in own:
-                got.append(marks_of(grams, levels))
+                got.append(X.clipped(marks_of(grams, levels)))
         names, many = np.unique(np.concatenate([np.zeros(0, np.uint64), *got]), return_counts=True)
-        return X.pack(t.column("chunk")[0].as_py() if t.num_rows else -1, names, buckets, (many > 1).astype(np.uint8))
+        return X.pack(t.column("chunk")[0].as_py() if t.num_rows else -1, X.flagged(names, many > 1), buckets)
 
     marks = chunks.groupBy("chunk").cogroup(reps.groupBy("chunk")).applyInArrow(marked, X.NAMES)
     shared = marks.groupBy("bucket").applyInArrow(X.shared_names(1), X.REPLY)
 
     def candidates(t: pa.Table, told: pa.Table) -> pa.Table:
-        names = X.gathered(told, 1)
+        names = X.told_names(told, 1)
         own, seen = set(X.gathered(told, 0).view(np.int64).tolist()), set()
         keys, out = t.column("key").to_pylist(), {k: [] for k in ("key", "n", "marks", "vector", "grams")}
         for r, grams in _sets(t, n):
@@ -236,7 +250,7 @@ def jaccard_components(docs: DataFrame, percent: int = 90, n: int = 3, id_col: s
                 continue
             seen.add(again)
             m = marks_of(grams, levels)
-            m = m[K.member(m, names)]
+            m = m[X.is_told(m, names)]
             if len(m):
                 for k, v in zip(out, (keys[r], len(grams), m.view(np.int64), _packed(vector_of(grams)), grams.tobytes())):
                     out[k].append(v)
@@ -257,13 +271,13 @@ def jaccard_components(docs: DataFrame, percent: int = 90, n: int = 3, id_col: s
     up = near.join(heads.where("parts > 1"), "mark").select("u", "v")
     two = near.where("size = 2").select("u", F.col("most").alias("v"))
     down = rows.join(near.where("size > 2").select("mark", "salt", "u"), ["mark", "salt"]).select("u", F.col("key").alias("v"))
-    tried = X.stored(up.unionByName(two).unionByName(down).where("u <> v").select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct(), "pairs")
-    links = X.stored(_linked(tried, cand, percent), "links")
+    tried = X.stored(up.unionByName(two).unionByName(down).where("u <> v").select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct(), "pairs", narrow=True)
+    links = X.stored(_linked(tried, cand, percent), "links", WIDE, narrow=True)
 
     comp = components(links)
     # what is still apart within a block
     label = cand.select("key", "marks").join(comp.withColumnRenamed("node", "key"), "key", "left").select("key", F.explode("marks").alias("mark"), F.coalesce("component", "key").alias("component"))
-    label = X.stored(label, "labels")
+    label = X.stored(label, "labels", narrow=True)
     # the pair of a block of two has been tried
     mixed = label.groupBy("mark").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count(F.lit(1)).alias("size")).where("low <> high AND size > 2")
     within = label.join(mixed.select("mark"), "mark").groupBy("mark", "component").agg(F.count(F.lit(1)).alias("size"))
@@ -278,7 +292,7 @@ def jaccard_components(docs: DataFrame, percent: int = 90, n: int = 3, id_col: s
     apart = apart.select("mark", "key", "component", "main", F.explode(cells).alias("cell")).select("mark", "cell.a", "cell.b", "key", "component", "main")
     apart = apart.join(cand.select("key", "vector"), "key")
     more = apart.groupBy("mark", "a", "b").applyInArrow(_across(percent), "u long, v long").distinct().join(tried, ["u", "v"], "left_anti")
-    late = X.stored(_linked(more, cand, percent), "links")
+    late = X.stored(_linked(more, cand, percent), "links", WIDE, narrow=True)
     if not late.isEmpty():
         comp = components(links.unionByName(late))
 

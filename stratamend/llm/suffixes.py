@@ -147,14 +147,14 @@ def repeated_bytes(docs: DataFrame, length: int = 400, id_col: str = "doc_id", t
 
     def survivors(chunk: _Chunk, told: pa.Table, level: int):
         """For each slice: its documents, bytes, offsets, hashes, and the places that levels below ``level`` leave as candidates."""
-        kept = [X.gathered(told, k + 1) for k in range(level)]
+        kept = [X.told_names(told, k + 1) for k in range(level)]
         for rows, buf, offs in chunk.slices():
             runs, near = K.Runs(buf), None
             for (cover, period, width), names in zip(covers, kept):
                 p = _samples(offs, cover, period, width)
                 if near is not None:
                     p = p[near[p]]
-                p = p[K.member(runs.at(p, width), names)]
+                p = p[X.is_told(runs.at(p, width), names)]
                 # a repeat that holds this sample starts at most a period before it and ends at most ``length`` later
                 near = np.zeros(len(buf) + 1, bool)
                 starts = _reached(p, offs, period, length, len(buf))
@@ -168,9 +168,9 @@ def repeated_bytes(docs: DataFrame, length: int = 400, id_col: str = "doc_id", t
             chunk, got = _Chunk(t, length).judge(told), []
             for _, _, offs, runs, near, _ in survivors(chunk, told, level):
                 p = _samples(offs, cover, period, width)
-                got.append(runs.at(p if near is None else p[near[p]], width))
+                got.append(X.clipped(runs.at(p if near is None else p[near[p]], width)))
             found, count = np.unique(np.concatenate([np.zeros(0, np.uint64), *got]), return_counts=True)
-            return X.pack(chunk_id(t), found, some, (count > 1).astype(np.uint8))
+            return X.pack(chunk_id(t), X.flagged(found, count > 1), some)
 
         return names
 
