@@ -457,7 +457,7 @@ def _encoded(v: Vocabulary, k: int, seed: int):
     def f(batches):
         for batch in batches:
             _, offs = K.text_column(batch.column(1))
-            for i, j in K.row_slices(offs, 2 << 20):
+            for i, j in K.row_slices(offs, 5 << 19):
                 keys, texts = batch.column(0).slice(i, j - i).to_pylist(), [t or "" for t in batch.column(1).slice(i, j - i).to_pylist()]
                 seeds = [_mix1(seed * 0x9E3779B97F4A7C15 + (key if key is not None else int.from_bytes(hashlib.blake2b(t.encode(), digest_size=8).digest(), "little"))) for key, t in zip(keys, texts)]
                 out = {c: [] for c in ("doc_id", "sample", "n_tokens", "log_prob", "perturbed", "inclusion", "ids", "exact")}
