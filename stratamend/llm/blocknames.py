@@ -11,6 +11,9 @@ What travels is a chunk's dictionary of distinct blocks, never a row for each
 copy: a block that a third of all documents hold costs one row a chunk.  Names
 go back to the chunk, which holds its documents as lists of dictionary places.
 
+Numbers of rows and chunks are a partition (31 bits, all that Spark has) and a
+count in it (32 bits); a block's name is a partition (23) and its rank (40).
+
 Rows: null counts as the empty text, which is one empty block.  The row with
 the largest id stays, null ids last; of rows that share that id too, one.  An
 empty table gives an empty result.  Extra columns are ignored.
@@ -42,7 +45,7 @@ def _documents(size: int):
     """Chunks of documents as rows of _ROWS: kind 0 for each distinct block, kind 1 for the documents."""
 
     def f(batches):
-        part, count = TaskContext.get().partitionId(), 0
+        part, count, done = TaskContext.get().partitionId(), 0, 0
         for batch in batches:
             buf, offs = K.text_column(batch.column(1))
             for i, j in K.row_slices(offs, CHUNK):
@@ -50,8 +53,8 @@ def _documents(size: int):
                 at = (offs[i : j + 1] - offs[i]).tolist()
                 texts = [raw[x:y] for x, y in zip(at, at[1:])]
                 shas = [hashlib.sha256(x).digest() for x in texts]
-                yield from _dictionary(part << 32 | count, list(range(j - i)), batch.column(0).slice(i, j - i).to_pylist(), batch.column(2).slice(i, j - i).to_pylist(), shas, texts, size)
-                count += 1
+                yield from _dictionary(part << 32 | count, [part << 32 | done + k for k in range(j - i)], batch.column(0).slice(i, j - i).to_pylist(), batch.column(2).slice(i, j - i).to_pylist(), shas, texts, size)
+                count, done = count + 1, done + j - i
 
     return f
 
@@ -63,20 +66,20 @@ def _sequences(size: int):
         part, count = TaskContext.get().partitionId(), 0
         for batch in batches:
             t = batch.to_pydict()
-            yield from _dictionary(part << 32 | count, t["row"], t["doc_id"], t["tag"], t["sha"], t["symbols"], size, rows_are_ids=True)
+            yield from _dictionary(part << 32 | count, t["row"], t["doc_id"], t["tag"], t["sha"], t["symbols"], size)
             count += 1
 
     return f
 
 
-def _dictionary(chunk: int, rows: list, ids: list, tags: list, shas: list, texts: list[bytes], size: int, rows_are_ids: bool = False):
+def _dictionary(chunk: int, rows: list, ids: list, tags: list, shas: list, texts: list[bytes], size: int):
     places: dict[bytes, int] = {}
     lists = []
     for x in texts:
         lists.append([places.setdefault(x[k : k + size], len(places)) for k in range(0, max(1, len(x)), size)])
     body = pa.record_batch(
         {
-            "row": pa.array(rows if rows_are_ids else [(chunk << 20) + k for k in rows], pa.int64()),
+            "row": pa.array(rows, pa.int64()),
             "doc_id": pa.array(ids, pa.int64()),
             "tag": pa.array(tags, pa.int64()),
             "sha": pa.array(shas, pa.binary()),

@@ -1,7 +1,9 @@
+import pyarrow as pa
 import pytest
 from llm_helpers import rows_of
 
 import brute
+from stratamend.llm import blocknames
 from stratamend.llm.blocknames import exact_groups
 
 
@@ -24,3 +26,16 @@ def test_ties_and_nulls(frame):
 
 def test_no_rows(frame):
     assert rows_of(exact_groups(frame([]))) == []
+
+
+def test_rows_of_late_partitions(monkeypatch):
+    """Rows of any partition that Spark can number have a number of their own."""
+    rows = []
+    for part in (0, 1, 2047, 2048, 1 << 24, (1 << 31) - 1):
+        monkeypatch.setattr(blocknames, "TaskContext", type("Task", (), {"get": classmethod(lambda c, part=part: type("One", (), {"partitionId": lambda _: part})())}))
+        monkeypatch.setattr(blocknames, "CHUNK", 8)
+        batches = [pa.record_batch({"doc_id": pa.array([1, 2, 3]), "text": pa.array(["aaaa", "bbbb", "cccc"]), "tag": pa.array([0, 0, 0])})] * 2
+        for out in blocknames._documents(4096)(iter(batches)):
+            body = out.column("block")[out.num_rows - 1].as_py()
+            rows += pa.ipc.open_stream(body).read_all().column("row").to_pylist()
+    assert len(set(rows)) == len(rows) == 36 and min(rows) >= 0
