@@ -21,7 +21,7 @@ that shares a mark is in one component, or ruled out by the bound or the sets.
 
 Rows: null text, and text without words, has an empty set and no links; fewer
 words than n are one n-gram.  Repeated rows are one node; rows that share an
-id but not a text are taken for one node too.  Rows without id link like
+id but not a text are taken for one node too, save by one_of_each.  Rows without id link like
 others but name no component: theirs is the least real id, or null.  An empty table gives an empty result.  Extra columns are ignored.
 Sets are compared by 64-bit hashes of their n-grams.
 """
@@ -310,14 +310,30 @@ def jaccard_components(docs: DataFrame, percent: int = 90, n: int = 3, id_col: s
 def one_of_each(docs: DataFrame, percent: int = 80, n: int = 5, id_col: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows of ``docs``, as they are, that stand for their component: the least real id, or else the least key.
 
-    Rows that share an id are one node, and one of them stays.
+    Rows that share an id and a text are one node, and one of them stays; rows
+    that share an id but not a text are nodes of their own.
     """
-    own = "key_" + "_".join(docs.columns)  # a name that no column has
-    stay = jaccard_components(docs, percent, n, id_col, text).where("stays").select(F.col("key").alias(own)).distinct()
-    key = F.coalesce(F.col(id_col).cast("long"), _text_key(F.col(text).cast("string")))
-    return docs.withColumn(own, key).join(stay, own, "left_semi").dropDuplicates([own]).drop(own)
+    own, tag = ("key_" + "_".join(docs.columns), "tag_" + "_".join(docs.columns))  # names that no column has
+    body = F.col(text).cast("string")
+    rows = docs.withColumns({own: F.col(id_col).cast("long"), tag: F.xxhash64(body)})
+    if rows.where(F.col(own).isNotNull()).groupBy(own).agg(F.min(tag).alias("a"), F.max(tag).alias("b")).where("a <> b").isEmpty():
+        stay = jaccard_components(docs, percent, n, id_col, text).where("stays").select(F.col("key").alias(own)).distinct()
+        return docs.withColumn(own, F.coalesce(F.col(id_col).cast("long"), _text_key(body))).join(stay, own, "left_semi").dropDuplicates([own]).drop(own)
+    # ids alone don't tell the texts apart: number the nodes, once for all looks
+    nodes = rows.select(F.col(own).alias("id"), F.col(tag).alias("tag")).distinct().withColumn("node", F.monotonically_increasing_id())
+    nodes = X.stored(nodes, "nodes", narrow=True)
+    named = rows.select(own, tag, body.alias("body")).join(nodes, F.col(own).eqNullSafe(F.col("id")) & (F.col(tag) == F.col("tag"))).select(F.col("node").alias("doc_id"), F.col("body").alias("text"))
+    comp = jaccard_components(named, percent, n).select(F.col("doc_id").alias("node"), "component_id").distinct()
+    least = F.min(F.struct(F.col("id").isNull().alias("nameless"), F.coalesce("id", _hash_key(F.col("tag"))).alias("key"), "id", "tag")).alias("top")
+    stay = comp.join(nodes, "node").groupBy("component_id").agg(least).select(F.col("top.id").alias("id_" + own), F.col("top.tag").alias("of_" + tag))
+    met = F.col(own).eqNullSafe(F.col("id_" + own)) & (F.col(tag) == F.col("of_" + tag))
+    return rows.join(stay, met, "left_semi").dropDuplicates([own, tag]).drop(own, tag)
 
 
 def _text_key(text):
     """The negative key of a row without id."""
-    return -1 - F.xxhash64(text).bitwiseAND(F.lit((1 << 62) - 1))
+    return _hash_key(F.xxhash64(text))
+
+
+def _hash_key(tag):
+    return -1 - tag.bitwiseAND(F.lit((1 << 62) - 1))

@@ -65,3 +65,14 @@ def test_components(spark):
 
 def test_no_rows(frame):
     assert rows_of(J.jaccard_components(frame([]))) == []
+
+
+def test_texts_that_share_an_id_are_judged_one_by_one(frame):
+    """Each text of an id stays, or not, by its own component, whichever row comes first."""
+    rows = [(1, "a b c d e"), (2, "A B c d e"), (2, "quite another text here"), (2, "quite another text here"), (6, "a b c d e"), (6, "one more of its own"), (None, "one more of its own"), (None, "p q r s"), (None, "p q r s"), (7, ""), (7, None)]
+    want = [(1, "a b c d e"), (2, "quite another text here"), (6, "one more of its own"), (None, "p q r s"), (7, ""), (7, None)]
+    for some in (rows, rows[::-1]):
+        docs = frame(some)
+        got = J.one_of_each(docs, 80, 2)
+        assert got.columns == docs.columns
+        assert rows_of(got.select("doc_id", "text")) == sorted(want, key=repr)
