@@ -14,7 +14,9 @@ documents are read once and never shuffled.
 
 Rows: null text has no words.  Null ids are kept.  Items without words and
 empty tables match nothing.  Repeated rows are judged one by one; items that
-repeat an item_id count once.  Extra columns are ignored.
+repeat an item_id count once.  Items without id are judged like others: their
+windows count in n_hit and spans, and all of them are one item of n_items (null
+in items), without a name in items_sha256.  Extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -55,10 +57,15 @@ def winnowed(grams: np.ndarray, w: int) -> np.ndarray:
     return np.unique(at)
 
 
+def _in_order(items) -> list:
+    """Names sorted, null last."""
+    return sorted(items, key=lambda x: (x is None, x or ""))
+
+
 class Index:
     """Fingerprints and windows of one block of the benchmark."""
 
-    def __init__(self, items: list[tuple[str, str | None]], window: int):
+    def __init__(self, items: list[tuple[str | None, str | None]], window: int):
         self.window, self.k = window, min(K_GRAM, window)
         self.w = window - self.k + 1
         prints, names, owners, size = [], [], [], []
@@ -142,7 +149,7 @@ def _judged(index: Index):
                         "doc_id": ids.slice(i, j - i).cast(pa.int64()),
                         "n_words": pa.array(np.diff(first), pa.int64()),
                         "spans": pa.array(spans, pa.list_(pa.int32())),
-                        "items": pa.array([sorted(items.get(r, ())) for r in range(j - i)], pa.list_(pa.string())),
+                        "items": pa.array([_in_order(items.get(r, ())) for r in range(j - i)], pa.list_(pa.string())),
                     }
                 )
 
@@ -173,9 +180,10 @@ def _merged(batches):
                     flat[-1] = max(flat[-1], b)
                 else:
                     flat += [a, b]
-            items = sorted(set(items))
+            items = _in_order({*items})
+            named = ",".join(x for x in items if x is not None)
             hit = sum(flat[1::2]) - sum(flat[::2])
-            for k, v in zip(out, (hit, len(items), hashlib.sha256(",".join(items).encode()).hexdigest(), hit > 0 and 20 * hit >= n, flat, items)):
+            for k, v in zip(out, (hit, len(items), hashlib.sha256(named.encode()).hexdigest(), hit > 0 and 20 * hit >= n, flat, items)):
                 out[k].append(v)
         kinds = (pa.int64(), pa.int64(), pa.string(), pa.bool_(), pa.list_(pa.int32()), pa.list_(pa.string()))
         yield pa.record_batch({"doc_id": batch.column(0), "n_words": batch.column(1)} | {k: pa.array(v, t) for (k, v), t in zip(out.items(), kinds)})
@@ -183,7 +191,7 @@ def _merged(batches):
 
 def _bench(items: DataFrame, item_col: str, item_text: str, block_bytes: int) -> tuple[DataFrame, int]:
     """Items with text, and into how many blocks they go."""
-    bench = items.select(F.col(item_col).cast("string").alias("item"), F.col(item_text).cast("string").alias("text")).where("text IS NOT NULL AND item IS NOT NULL")
+    bench = items.select(F.col(item_col).cast("string").alias("item"), F.col(item_text).cast("string").alias("text")).where("text IS NOT NULL")
     total = bench.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     return bench, max(1, -(-2 * total // block_bytes)) if total > block_bytes else 1
 

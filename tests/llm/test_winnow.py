@@ -1,3 +1,4 @@
+import hashlib
 import random
 
 import numpy as np
@@ -5,7 +6,7 @@ import pytest
 from llm_helpers import rows_of
 
 import brute
-from stratamend.llm.winnow import contamination, winnowed
+from stratamend.llm.winnow import contamination, decontaminated, winnowed
 
 COLS = ["doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated"]
 ITEMS = "item_id long, text string"
@@ -45,3 +46,14 @@ def test_no_rows(spark, frame, planted):
     none = spark.createDataFrame([], ITEMS)
     assert rows_of(contamination(frame([]), none)) == []
     assert rows_of(contamination(frame(planted), none).select(COLS)) == sorted(brute.contamination(planted, []), key=repr)
+
+
+@pytest.mark.parametrize("block_bytes", [8 << 20, 30])
+def test_items_without_id(spark, frame, block_bytes):
+    items = spark.createDataFrame([(None, "one two three"), (None, "four five six"), (7, "seven eight nine"), (8, None)], ITEMS)
+    docs = frame([(1, "x one two three"), (2, "one two three four five six seven eight nine"), (3, "clean words"), (4, "seven eight nine")])
+    sha = lambda t: hashlib.sha256(t.encode()).hexdigest()
+    got = contamination(docs, items, 3, block_bytes=block_bytes)
+    assert rows_of(got.select(COLS)) == [(1, 4, 3, 1, sha(""), True), (2, 9, 9, 2, sha("7"), True), (3, 2, 0, 0, sha(""), False), (4, 3, 3, 1, sha("7"), True)]
+    assert {r.doc_id: r["items"] for r in got.collect()} == {1: [None], 2: ["7", None], 3: [], 4: ["7"]}
+    assert [r.doc_id for r in decontaminated(docs, items, 3, block_bytes=block_bytes).collect()] == [3]
