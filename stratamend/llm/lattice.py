@@ -233,32 +233,38 @@ class _One:
             log, j = log + np.log(c), i
         return path, log
 
-    def other(self, not_this: list, base: int) -> tuple[list, float] | None:
-        """A path other than ``not_this``, with its chance in the whole lattice."""
-        steps, reach = [], 1.0
-        for (j, p), (i, _) in zip(not_this, [*not_this[1:], (0, 0)]):
-            c = next(c for a, c, q in self.edges[j] if q == p and a == i)
-            steps.append(reach * max(0.0, 1 - c) if len(self.edges[j]) > 1 else 0.0)
-            reach *= c
-        total = sum(steps)
-        if total <= 0:
+    def splits(self, paths: list[list]) -> list[tuple]:
+        """Where a path can leave all of ``paths``: (chance, one that goes there, steps of it, their log-probability, place, edges that none takes)."""
+        out, todo = [], [(0, 1.0, 0.0, self.size, paths)]
+        while todo:
+            depth, reach, log, j, some = todo.pop()
+            taken: dict[int, list] = {}
+            for x in some:
+                taken.setdefault(x[depth][1], []).append(x)
+            free = [e for e in self.edges[j] if e[2] not in taken]
+            if (mass := reach * sum(c for _, c, _ in free)) > 0:
+                out.append((mass, some[0], depth, log, j, free))
+            for i, c, q in self.edges[j]:
+                if i and q in taken:
+                    todo.append((depth + 1, reach * c, log + np.log(c), i, taken[q]))
+        return out
+
+    def other(self, not_this: list, base: int, *nor: list) -> tuple[list, float] | None:
+        """A path other than these, with its chance in the whole lattice."""
+        ways = self.splits([not_this, *nor])
+        if not ways:
             return None
-        u = (_mix1(base) + 0.5) / 2**64 * total
-        for r, mass in enumerate(steps):
+        u = (_mix1(base) + 0.5) / 2**64 * sum(w[0] for w in ways)
+        for mass, like, depth, log, j, free in ways:
             u -= mass
-            if u < 0 and mass:
+            if u < 0:
                 break
-        j, p = not_this[r]
-        options = [(i, c, q) for i, c, q in self.edges[j] if q != p]
-        u = (_mix1(base + 1) + 0.5) / 2**64 * sum(c for _, c, _ in options)
-        for i, c, q in options:
+        u = (_mix1(base + 1) + 0.5) / 2**64 * sum(c for _, c, _ in free)
+        for i, c, q in free:
             u -= c
             if u < 0:
                 break
-        log = 0.0
-        for (a, b), (s, _) in zip(not_this[:r], not_this[1 : r + 1]):
-            log += np.log(next(x for y, x, z in self.edges[a] if z == b and y == s))
-        return self._on(i, base + 2, not_this[:r] + [(j, q)], log + np.log(c))
+        return self._on(i, base + 2, like[:depth] + [(j, q)], log + np.log(c))
 
 
 class _Slice:
@@ -404,28 +410,24 @@ def sample(v: Vocabulary, texts: list[str], seeds: list[int], k: int) -> list[li
         on, tops, first = np.zeros(total, bool), np.full(n, -np.inf), units[:-1].copy()
         new, log = slots[0].copy(), logs[0].copy()
         for d in range(n):
-            score, parent, t = best(d)
-            if score == -np.inf:
-                continue
-            seed = _mix1(int(s.base[t]) + number * 77)
-            known = fixed[d].setdefault((parent, t), [s.path(slots[parent], t)])
-            one, path = s.one(t), None
-            for attempt in range(200):  # the first path is left out exactly, later ones by trying again
-                got = one.other(known[0], _mix1(seed + attempt * 1000003))
-                if got is None:
+            path = None
+            while path is None:
+                score, parent, t = best(d)
+                if score == -np.inf:
                     break
-                if got[0] not in known:
-                    path = got
-                    break
-            a, b = int(units[d]), int(units[d + 1])
+                seed = _mix1(int(s.base[t]) + number * 77)
+                known = fixed[d].setdefault((parent, t), [s.path(slots[parent], t)])
+                one = s.one(t)
+                if (path := one.other(known[0], _mix1(seed), *known[1:])) is None:
+                    bounds[parent][t] = -np.inf
             if path is None:
-                bounds[parent][t] = -np.inf
                 continue
+            a, b = int(units[d]), int(units[d + 1])
             known.append(path[0])
             # what still leaves the parent here: all paths but those found
-            chance = sum(np.exp(sum(np.log(next(c for i, c, q in one.edges[j] if q == p and i == e)) for (j, p), (e, _) in zip(x, [*x[1:], (0, 0)]))) for x in known)
+            left = sum(w[0] for w in one.splits(known))
             ahead = float(logs[parent][a:t].sum())
-            phi = np.array([ahead + np.log(1 - chance) if 1 - chance > 1e-13 else -np.inf])
+            phi = np.array([ahead + np.log(left) if left > 0 else -np.inf])
             bounds[parent][t] = _truncated(phi, score, _uniform(K.mix(np.array([seed ^ 0xABCDEF], np.uint64))))[0]
             new[chars[d] : s.start[t]] = slots[parent][chars[d] : s.start[t]]
             log[a:t] = logs[parent][a:t]

@@ -91,3 +91,19 @@ def test_public_model(spark, frame, planted):
     assert rows_of(encode(frame([]), v)) == []
     same = encode(frame([(1, "hello there")] * 3 + [(None, "x y")]), v, k=2).collect()
     assert len({(bytes(r.ids), r.sample) for r in same if r.doc_id == 1}) == 2
+
+
+def test_all_paths_are_found():
+    """Segmentations of small chance are found too, once each, and in the order of sampling without replacement."""
+    v = Vocabulary([(300 + k, p, w) for k, (p, w) in enumerate({"▁": -0.1, "abc": -0.1, "ab": -2.3, "c": -0.1, "a": -4.6, "bc": -0.1, "b": -4.6}.items())], list(range(3, 259)), 400)
+    want = every_path(v, "abc")
+    assert len(want) == 4 and min(want.values()) < 1e-3
+    for k in (4, 6):
+        for rows in sample(v, ["abc"] * 300, list(range(300)), k):
+            assert {tuple(r[0].tolist()) for r in rows} == set(want) and len(rows) == 4
+            assert [r[2] for r in rows] == sorted((r[2] for r in rows), reverse=True) and all(r[3] == 1 for r in rows)
+    n = 4000
+    third = Counter(tuple(rows[2][0].tolist()) for rows in sample(v, ["abc"] * n, list(range(n)), 3))
+    for path, p in want.items():
+        q = sum(x * y / (1 - x) * p / (1 - x - y) for a, x in want.items() for b, y in want.items() if len({a, b, path}) == 3)
+        assert abs(third[path] / n - q) < 4 * np.sqrt(q * (1 - q) / n) + 1e-3
