@@ -7,8 +7,8 @@ alone; the score is that of the weighted sum.  Scoring is one pass over the
 documents without a shuffle; the model (some kB) travels with the tasks.
 
 Fitting takes at most ``FIT_ROWS`` labelled documents, those with the least
-hash of their id, and at most ``FIT_PASSAGES`` evenly spaced passages of each;
-both bounds are parameters.  Scoring reads every word.
+hash of their id (a parameter of ``fit``), and every passage of these; the
+driver holds 152 bytes for each passage.  Scoring reads every word.
 
 Rows: null and empty text, and text without words, is one empty passage and
 gets a score too.  Rows are scored one by one, so repeated rows and null ids
@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from . import kernels as K
 
 WORDS, SHAPES, STATS = 64, 64, 12
-FIT_ROWS, FIT_PASSAGES = 4000, 256
+FIT_ROWS = 4000
 RESULT = "doc_id long, score double, n_passages int, top_passage int, top_weight double"
 
 _CLASS = np.zeros(256, np.uint8)  # a symbol's class: marks stand for themselves
@@ -184,7 +184,7 @@ def _bags(batches):
         buf, offs = K.text_column(batch.column(1))
         for i, j in K.row_slices(offs, 1 << 19):
             x, begin = features(buf[offs[i] : offs[j]], offs[i : j + 1] - offs[i])
-            bags = [x[a:b] if b - a <= FIT_PASSAGES else x[np.linspace(a, b - 1, FIT_PASSAGES).astype(np.int64)] for a, b in zip(begin, begin[1:])]
+            bags = [x[a:b] for a, b in zip(begin, begin[1:])]
             yield pa.record_batch({"label": batch.column(0).slice(i, j - i), "bag": pa.array([b.astype(np.float16).tobytes() for b in bags], pa.binary())})
 
 

@@ -67,3 +67,13 @@ def test_odd_tables(spark, frame, planted):
     none = mil.fit(frame(planted), labels.where("false"))
     assert {r.score for r in mil.score(frame(planted), none).collect()} == {0.5}
     assert rows_of(mil.score(frame([]), none)) == []
+
+
+def test_long_documents_teach_whole(spark, frame, monkeypatch):
+    """Every passage of a labelled document is learnt from, however long it is."""
+    seen = []
+    was = mil.Model.fit
+    monkeypatch.setattr(mil.Model, "fit", lambda self, x, begin, labels: (seen.append(np.diff(begin).tolist()), was(self, x, begin, labels, epochs=1))[1])
+    docs = frame([(1, "word " * 64 * 300), (2, "other " * 64), (3, "not labelled")])
+    mil.fit(docs, spark.createDataFrame([(1, 1), (2, 0)], "doc_id long, quality int"), "quality")
+    assert [sorted(x) for x in seen] == [[1, 300]]
