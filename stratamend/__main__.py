@@ -25,9 +25,10 @@ def main(args: list[str] | None = None) -> int:
         p.error("the path of a paged file is needed")
     from .sources.pagefile import PageFile
 
-    if a.command in ("list", "ddl"):
+    if a.command in ("list", "ddl", "inspect", "export"):
         with PageFile(a.path) as f:
             names = a.table or f.tables()
+    if a.command in ("list", "ddl"):
         if a.command == "list":
             print(*names, sep="\n")
         else:
@@ -47,14 +48,16 @@ def main(args: list[str] | None = None) -> int:
 
         from .operators.versions import flag_columns
 
-        for t in a.table or []:
-            rows = load.read_table(spark, a.path, t, versions=True)
-            rows.select("_page", "_slot", "_txn", "_fmt", *flag_columns(F.col("_flags"))).orderBy("_page", "_slot").show(100, False)
+        for t in names:
+            rows = load.read_slots(spark, a.path, t).select("*", *flag_columns(F.col("flags"))).orderBy("page", "slot")
+            print(f"table {t}", *rows.columns, sep="\t")
+            for row in rows.toLocalIterator():
+                print(t, *("" if x is None else x for x in row), sep="\t")
         return 0
     if not a.to:
         p.error("--to is needed")
     if a.command == "export":
-        for t in a.table or []:
+        for t in names:
             load.export_copy(load.read_table(spark, a.path, t), f"{a.to}/{t.lower()}")
         return 0
     if a.command == "load":

@@ -31,6 +31,12 @@ def read_pages(spark: SparkSession, path: str, table: str) -> DataFrame:
     return spark.read.format("paged_file").options(path=path, relation="pages", table=table).load().select("page", "gen")
 
 
+def read_slots(spark: SparkSession, path: str, table: str) -> DataFrame:
+    """Every slot of a table's data pages, whatever it holds."""
+    register(spark)
+    return spark.read.format("paged_file").options(path=path, relation="slots", table=table).load()
+
+
 def table_ddl(path: str, table: str, unlogged: bool = False) -> str:
     """CREATE TABLE of a table of a paged file."""
     with P.PageFile(path) as f:

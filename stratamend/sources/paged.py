@@ -3,7 +3,8 @@
 Options: ``path``; ``table`` (all its columns); ``versions`` = true adds every
 stored version with its page, generation, slot, transaction, flags, schema
 version and back pointer, instead of the current rows alone; ``relation`` =
-``pages`` or ``tables`` lists pages or the catalog; ``decimals`` = exact keeps
+``pages``, ``slots`` or ``tables`` lists pages, every slot of them (fragments,
+blobs and slots without a record too) or the catalog; ``decimals`` = exact keeps
 scaled integers as decimals; ``pages_per_task`` sizes the partitions.  For a
 change scan, ``known`` (see ``packed``) has the generations of the last scan:
 of pages that still have theirs only delete stubs are decoded; and ``resolve``
@@ -44,6 +45,20 @@ META = T.StructType(
     ]
 )
 PAGES = T.StructType([T.StructField("page", T.LongType()), T.StructField("gen", T.LongType()), T.StructField("records", T.IntegerType())])
+SLOTS = T.StructType(
+    [
+        T.StructField("page", T.LongType()),
+        T.StructField("gen", T.LongType()),
+        T.StructField("slot", T.IntegerType()),
+        T.StructField("state", T.StringType()),
+        T.StructField("length", T.IntegerType()),
+        T.StructField("txn", T.LongType()),
+        T.StructField("flags", T.IntegerType()),
+        T.StructField("fmt", T.IntegerType()),
+        T.StructField("back_page", T.LongType()),
+        T.StructField("back_line", T.IntegerType()),
+    ]
+)
 TABLES = T.StructType([T.StructField("id", T.IntegerType()), T.StructField("name", T.StringType()), T.StructField("is_view", T.BooleanType()), T.StructField("system", T.IntegerType())])
 BATCH = 4096
 #: Back versions that a stub's key is looked for in.
@@ -121,7 +136,7 @@ class PagedSource(DataSource):
 
     def schema(self) -> T.StructType:
         if "relation" in self.options:
-            return {"pages": PAGES, "tables": TABLES}[self.options["relation"]]
+            return {"pages": PAGES, "slots": SLOTS, "tables": TABLES}[self.options["relation"]]
         own = self._layout().schema
         return T.StructType([*META, *own]) if self._versions() else own
 
@@ -195,6 +210,15 @@ class PagedReader(DataSourceReader):
             if self.kind == "pages":
                 yield [n, gen, sum(1 for _ in f.slots(body))]
                 continue
+            if self.kind == "slots":
+                records = {v.slot: v for v in f.versions(n, body)}
+                for s, at, size in f.entries(body):
+                    if v := records.get(s):
+                        yield [n, gen, s, "record", size, v.txn, v.flags, v.fmt, v.back_page, v.back_line]
+                    else:
+                        state = "empty" if not (at and size) else "outside" if at + size > len(body) else "short"
+                        yield [n, gen, s, state, size, None, None, None, None, None]
+                continue
             for v in f.versions(n, body):
                 if self.versions:
                     deleted = v.flags & P.DELETED

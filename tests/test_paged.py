@@ -293,3 +293,20 @@ def test_command_line(tmp_path, spark, capsys):
     assert main(["export", path, "--table", "t", "--to", str(tmp_path / "x")]) == 0
     assert main(["watch", path, "--to", str(tmp_path / "w"), "--cycles", "1", "--interval", "1"]) == 0
     assert sorted(map(tuple, VersionedTable(spark, str(tmp_path / "w/t"), ["id"]).read().collect())) == [(1, 1), (2, None)]
+
+
+def test_inspect_and_export_are_whole(tmp_path, spark, capsys):
+    """Every slot of every table: more than a hundred, fragments, blobs and slots without a record too."""
+    from stratamend.__main__ import main
+
+    odd = [P.record(7, b"x", P.FRAGMENT), P.record(7, b"x", P.BLOB), b"", b"short"]
+    page = [live(5, k, k) for k in range(70)]
+    path = simple(tmp_path / "f", [(1, page), (2, [*page, *odd])])
+    assert main(["inspect", path]) == 0
+    lines = [x.split("\t") for x in capsys.readouterr().out.splitlines()]
+    head, rows = lines[0], [dict(zip(lines[0], x)) for x in lines[1:]]
+    assert head[0] == "table T" and len(rows) == 144
+    assert [r["state"] for r in rows[-4:]] == ["record", "record", "empty", "short"]
+    assert [(r["fragment"], r["blob"]) for r in rows[-4:-2]] == [("True", "False"), ("False", "True")]
+    assert main(["export", path, "--to", str(tmp_path / "x")]) == 0
+    assert (tmp_path / "x" / "t").exists()
