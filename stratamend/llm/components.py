@@ -28,7 +28,8 @@ def components(edges: DataFrame) -> DataFrame:
     """(u, v) links of long ids to (node, component): the least id that a node reaches."""
     edges, last = X.stored(edges.select("u", "v").where("u <> v").distinct(), "edges", narrow=True), None
     while True:
-        edges = X.stored(_stars(_stars(edges, True), False), "edges", narrow=True)
+        was, edges = edges, X.stored(_stars(_stars(edges, True), False), "edges", narrow=True)
+        X.discard(was)
         now = tuple(edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
         if now == last:
             break

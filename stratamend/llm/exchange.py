@@ -44,11 +44,15 @@ def buckets_for(spark: SparkSession, total: float) -> int:
 
 
 def chunked(docs: DataFrame, total: int, id_col: str = "doc_id", text: str = "text", chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
-    """(chunk, id, text) with documents dealt into chunks by id; a row without id goes by its text."""
+    """(chunk, id, text) with documents dealt into chunks by id (a row without id by its text) and by the input partition.
+
+    The partition keeps an id or a null id that very many rows share out of a
+    single chunk; it is the same in a repeated task.
+    """
     key, body = F.col(id_col).cast("long").alias("id"), F.col(text).cast("string").alias("text")
     out = docs.select(key, body)
     n = max(partitions(docs.sparkSession), -(-total // chunk_bytes))
-    return out.select(F.pmod(F.xxhash64(F.coalesce("id", F.xxhash64("text"))), F.lit(n)).cast("int").alias("chunk"), "id", "text")
+    return out.select(F.pmod(F.xxhash64(F.coalesce("id", F.xxhash64("text")), F.spark_partition_id()), F.lit(n)).cast("int").alias("chunk"), "id", "text")
 
 
 def scratch_dir(spark: SparkSession) -> str:
@@ -80,8 +84,26 @@ def stored(df: DataFrame, name: str, batch: int | None = None, narrow: bool = Fa
         out.write.option("compression", "zstd").parquet(path)
     finally:
         spark.conf.set(conf, was)
-    atexit.register(_drop, spark, path)
-    return spark.read.schema(df.schema).parquet(path)
+    _paths[path] = spark
+    back = spark.read.schema(df.schema).parquet(path)
+    back.stored_at = path
+    return back
+
+
+def discard(df: DataFrame) -> None:
+    """Deletes a table of ``stored`` that nothing reads any more."""
+    path = df.stored_at
+    _drop(_paths.pop(path), path)
+
+
+#: Tables of ``stored`` that are still there.
+_paths: dict[str, SparkSession] = {}
+
+
+@atexit.register
+def _drop_all() -> None:
+    for path, spark in _paths.items():
+        _drop(spark, path)
 
 
 def _drop(spark: SparkSession, path: str) -> None:

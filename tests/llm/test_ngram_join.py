@@ -31,6 +31,39 @@ def test_chains_and_tiles(frame, monkeypatch):
     assert rows_of(J.jaccard_components(frame(docs)).select(COLS)) == sorted(brute.near(docs), key=repr)
 
 
+@pytest.mark.parametrize("bits", [32, 7])
+def test_hot_block(frame, monkeypatch, bits):
+    """5000 texts around one passage, some linked: a forest comes out, not all pairs; with few bits clashes are found and mended."""
+    r = random.Random(3)
+    word = lambda: "w%d" % r.randrange(10**9)
+    passage, docs = [word() for _ in range(40)], []
+    for k in range(5000 if bits == 32 else 400):
+        own = [word() for _ in range(r.choice((3, 6, 14)))]
+        docs.append((k + 1, " ".join(passage + own)))
+    docs += [(10**6 + k, docs[k][1] + " more") for k in range(50)]
+    monkeypatch.setattr(J, "BITS", bits)
+    monkeypatch.setattr(J, "TILE", 128)
+    made, linked = [], J._linked
+    monkeypatch.setattr(J, "_linked", lambda pairs, cand, percent: made.append(pairs.count()) or linked(pairs, cand, percent))
+    got = rows_of(J.jaccard_components(frame(docs, False)).select(COLS))
+    if bits == 32:
+        assert sum(made) < 2 * len(docs)
+        # what is linked among some documents is linked among all
+        comp, ties = {i: c for i, _, c in got}, {}
+        for i, _, c in brute.near(docs[:200] + docs[5000:]):
+            ties.setdefault(c, set()).add(comp[i])
+        assert all(len(x) == 1 for x in ties.values())
+    else:
+        assert got == sorted(brute.near(docs), key=repr)
+        assert len(made) > 2
+
+
+def test_rows_that_share_an_id(frame):
+    """Each row is a document of its own."""
+    rows = [(1, "a b c d e f g h"), (1, "other words all of them new"), (2, "other words all of them new"), (2, "a b c d e f g h"), (None, "a b c d e f g h"), (3, "x")] * 2
+    assert rows_of(J.jaccard_components(frame(rows)).select(COLS)) == sorted(brute.near(rows), key=repr)
+
+
 def test_sample(frame, sample):
     assert rows_of(J.jaccard_components(frame(sample, False)).select(COLS)) == sorted(brute.near(sample), key=repr)
 
