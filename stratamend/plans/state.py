@@ -3,9 +3,9 @@
 The watermark is each table's own: a table that failed resumes where it
 stopped, whatever the others did.  State is advanced after the change set is
 in its target, so a crash in between replays it, which the merge makes
-harmless.  Generations and keys are bucketed by page, and only buckets with
-changed pages are written again; one file, replaced by a rename, names the
-watermark and all buckets, so a state is seen whole or not at all.  A state
+harmless.  Generations and keys are kept by page, and only changed pages are
+written again; one file, replaced by a rename, names the watermark and all
+parts, so a state is seen whole or not at all.  A state
 that can't be read counts as none: the next scan starts anew, and emits no
 vanished keys.
 """
@@ -30,14 +30,14 @@ class TableState:
 
 
 class StateStore:
-    def __init__(self, spark: SparkSession, path: str, buckets: int = 16):
-        self.spark, self.path, self.buckets, self.files = spark, path.rstrip("/"), buckets, Files(spark)
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark, self.path, self.files = spark, path.rstrip("/"), Files(spark)
 
     def _file(self, table: str) -> str:
         return f"{self.path}/{table.lower()}/_STATE"
 
     def _part(self, table: str, name: str) -> VersionedTable:
-        return VersionedTable(self.spark, f"{self.path}/{table.lower()}/{name}", ["page"], self.buckets)
+        return VersionedTable(self.spark, f"{self.path}/{table.lower()}/{name}", ["page"])
 
     def _body(self, table: str) -> dict | None:
         try:

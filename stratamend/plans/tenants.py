@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .files import Files
+
 
 def registry(entries: DataFrame) -> DataFrame:
     """(tenant, database) of entries (seq, tenant, database): the last entry of a tenant counts; without a database it gets ``replica_<tenant>``."""
@@ -20,3 +22,14 @@ def routed(rows: DataFrame, reg: DataFrame, tenant: str) -> DataFrame:
 def rejected(rows: DataFrame, reg: DataFrame, tenant: str) -> DataFrame:
     """Rows of tenants that nobody registered."""
     return rows.join(reg.select(F.col("tenant").alias(tenant)), tenant, "left_anti")
+
+
+def ensure_database(spark: SparkSession, database: str, target: str) -> bool:
+    """Makes a tenant's database under ``target``, in the catalog too, if there is none; says whether it did."""
+    files, at = Files(spark), f"{target.rstrip('/')}/{database}"
+    there = files.exists(at) and spark.catalog.databaseExists(database)
+    if not there:
+        files.folder(at)
+        name, place = database.replace("`", "``"), at.replace("\\", "\\\\").replace("'", "\\'")
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS `{name}` LOCATION '{place}'")
+    return not there

@@ -1,112 +1,7 @@
-"""Paged files with a catalog, made from a description."""
-
-import struct
+"""A table that most tests of paged files use."""
 
 from stratamend.functions.types import Field
-from stratamend.sources import pagefile as P
-
-
-def row(fields, values, size=None, bitmap=4):
-    """A stored row: null bitmap, then fields at their offsets; ``values`` has raw bytes or None."""
-    n = max([f.offset + f.length for f in fields if f.dtype] + [bitmap, size or 0])
-    out = bytearray(n)
-    for k, (f, v) in enumerate(zip(fields, values)):
-        if v is None:
-            out[k >> 3] |= 1 << (k & 7)
-        else:
-            out[f.offset : f.offset + len(v)] = v
-    return bytes(out)
-
-
-def integer(v):
-    return None if v is None else struct.pack("<i", v)
-
-
-def varying(s):
-    raw = s.encode("cp1252")
-    return struct.pack("<H", len(raw)) + raw
-
-
-class Builder:
-    def __init__(self, path, version=13, size=4096, generation=1):
-        self.path, self.version, self.size, self.generation = str(path), version, size, generation
-        self.names = 252 if version >= 13 else 63
-        self.pages, self.following = {}, 3
-        self.catalog = {P.RELATIONS: [], P.FIELDS: [], P.CONSTRAINTS: [], P.SEGMENTS: []}
-        self.formats, self.relations = [], {}
-
-    def place(self, body):
-        n, self.following = self.following, self.following + 1
-        self.pages[n] = body
-        return n
-
-    def text(self, s, size=None):
-        return s.encode().ljust(size or self.names, b" ")
-
-    def table(self, rid, name, columns, key=(), formats=None, pages=(), view=False, system=0, positions=None):
-        """``columns`` has (name, Field); ``formats`` all versions' descriptors; ``pages`` (generation, slots) each."""
-        r = bytearray(42 + self.names)
-        r[0] = 0 if view else 1
-        struct.pack_into("<Hh", r, 32, rid, system)
-        r[42:] = self.text(name)
-        self.catalog[P.RELATIONS].append(bytes(r))
-        for k, (column, _) in enumerate(columns):
-            pos = 4 + 5 * self.names
-            pos = (pos + 1 & ~1) + 129
-            pos = pos + 1 & ~1
-            fid = (pos + 9 & ~7) + 10
-            f = bytearray(fid + 2)
-            place = positions[k] if positions else k
-            if place is None:
-                f[0] |= 0x40
-            else:
-                struct.pack_into("<h", f, pos, place)
-            struct.pack_into("<h", f, fid, k)
-            f[4 : 4 + self.names] = self.text(column)
-            f[4 + self.names : 4 + 2 * self.names] = self.text(name)
-            self.catalog[P.FIELDS].append(bytes(f))
-        self.formats += [(rid, v, fs) for v, fs in (formats or {1: [f for _, f in columns]}).items()]
-        if key:
-            c = bytes(4) + self.text(f"C_{name}") + self.text("PRIMARY KEY", 11) + self.text(name) + b"NO NO " + self.text(f"PK_{name}")
-            self.catalog[P.CONSTRAINTS] += [bytes(4) + self.text(f"N_{name}") + self.text("NOT NULL", 11) + self.text(name) + b"NO NO " + self.text(""), c]
-            for k, column in reversed(list(enumerate(key))):
-                self.catalog[P.SEGMENTS].append(bytes(4) + self.text(f"PK_{name}") + self.text(column) + struct.pack("<h", k))
-        self.relations[rid] = [self.place(P.data_page(self.size, slots, gen)) for gen, slots in pages]
-        return self
-
-    def blob(self, data, stream=True):
-        h = bytearray(28)
-        struct.pack_into("<H", h, 10, P.BLOB | (P.STREAM_BLOB if stream else 0))
-        if self.version >= 14:
-            struct.pack_into("<IQ", h, 12, 1, len(data))
-        else:
-            struct.pack_into("<II", h, 16, 1, len(data))
-        return bytes(h) + (data if stream else struct.pack("<H", len(data)) + data)
-
-    def write(self):
-        each = (self.size - 28) // 17
-        slots = []
-        for k, (rid, v, fs) in enumerate(self.formats):
-            blob = self.blob(struct.pack("<H", len(fs)) + b"".join(f.pack() for f in fs), stream=k % 2 == 0)
-            slots += [blob, P.record(1, bytes(4) + struct.pack("<HH", rid, v) + struct.pack("<HBBI", P.FORMATS, 0, 0, len(slots)))]
-        assert len(slots) < each
-        catalog = {P.FORMATS: [P.data_page(self.size, slots)]}
-        for rid, rows in self.catalog.items():
-            catalog[rid] = [P.data_page(self.size, [P.record(1, r) for r in rows[k : k + 8]], sequence=k // 8) for k in range(0, len(rows), 8)] or [P.data_page(self.size, [])]
-        for rid, pages in catalog.items():
-            self.relations[rid] = [self.place(p) for p in pages]
-        entries = []
-        for rid, pages in self.relations.items():
-            # two pointer pages where there is more than one data page
-            half = len(pages) // 2
-            last = self.place(P.pointer_page(self.size, [0, *reversed(pages[half:])], 0, rid))
-            first = self.place(P.pointer_page(self.size, pages[:half], last, rid)) if half else last
-            entries.append(P.record(1, bytes(4) + struct.pack("<iHHih", first, rid, 0, 0, P.POINTER)))
-        self.pages[1] = P.pointer_page(self.size, [2])
-        self.pages[2] = P.data_page(self.size, entries)
-        P.write_file(self.path, self.pages, self.size, self.version, self.generation)
-        return self.path
-
+from stratamend.sources.pagewriter import Builder, data_page, integer, record, row, varying  # noqa: F401
 
 INT_KEY = Field(9, 0, 4, offset=4)
 INT_VALUE = Field(9, 0, 4, offset=8)
@@ -118,4 +13,4 @@ def simple(path, pages, generation=1, **more):
 
 
 def live(txn, key, value=None, flags=0, back=(0, 0), **more):
-    return P.record(txn, row([INT_KEY, INT_VALUE], [integer(key), integer(value)]), flags, 1, back, **more)
+    return record(txn, row([INT_KEY, INT_VALUE], [integer(key), integer(value)]), flags, 1, back, **more)

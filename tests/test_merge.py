@@ -1,9 +1,10 @@
 import random
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import functions as F
 
 from stratamend.operators import merge, versions
-from stratamend.plans import tenants
+from stratamend.plans import table, tenants
 from stratamend.plans.table import VersionedTable
 
 T = "a int, b int, v string"
@@ -48,7 +49,7 @@ def test_swap_is_atomic(spark, tmp_path):
     t.swap(spark.range(10).select(F.col("id").alias("k")))
     before = t.read()
     # a writer that dies before the manifest is replaced leaves nothing visible
-    t._write(spark.range(99).select(F.col("id").alias("k")))
+    t.staged_swap(spark.range(99).select(F.col("id").alias("k")))
     assert VersionedTable(spark, t.path, ["k"]).read().count() == 10
     t.swap(spark.range(5).select(F.col("id").alias("k")))
     assert before.count() == 10 and t.read().count() == 5 and t.version == 2  # readers of the old version are not disturbed
@@ -56,13 +57,51 @@ def test_swap_is_atomic(spark, tmp_path):
     assert t.read().count() == 5 and len([n for n in t.files.children(t.path) if n.startswith("v-")]) == 1
 
 
-def test_small_changes_touch_few_buckets(spark, tmp_path):
-    t = VersionedTable(spark, str(tmp_path / "t"), ["k"], 8)
+def test_changes_cost_what_they_hold(spark, tmp_path):
+    """A small set leaves the base where it is; many become one; large ones go into the base, with more buckets."""
+    t = VersionedTable(spark, str(tmp_path / "t"), ["k"])
     t.swap(spark.range(1000).select(F.col("id").alias("k"), F.lit(1).alias("v")))
-    before = t.manifest()["paths"]
-    t.apply(spark.createDataFrame([(3, 9)], "k long, v int"), spark.createDataFrame([], "k long"))
-    after = t.manifest()["paths"]
-    assert sum(before[b] != after[b] for b in before) == 1 and t.read().where("v = 9").count() == 1 and t.read().count() == 1000
+    none, base = spark.createDataFrame([], "k long"), t.manifest()["paths"]
+    for n in range(1, 20):
+        t.apply(spark.createDataFrame([(3, n), (1000 + n, n)], "k long, v int"), spark.createDataFrame([(n * 7,)], "k long"))
+        m = t.manifest()
+        assert m["paths"] == base and 1 <= len(m["sets"]) < table.SETS and m["version"] == t.version == n + 1
+    want = {k: 1 for k in range(1000)}
+    for n in range(1, 20):
+        want.pop(n * 7, None)
+        want.update({3: n, 1000 + n: n})
+    assert dict(map(tuple, t.read().collect())) == want
+    assert t.apply(none.selectExpr("k", "1 AS v"), none) == 20
+    assert dict(map(tuple, t.read(keys=spark.createDataFrame([(3,)], "k long")).where("k = 3").collect())) == {3: 19}
+    t.vacuum()
+    assert dict(map(tuple, t.read().collect())) == want
+
+
+def test_growing_tables_get_more_buckets(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(table, "BUCKET_BYTES", 1000)
+    monkeypatch.setattr(table, "LEAST_BYTES", 0)
+    t = VersionedTable(spark, str(tmp_path / "t"), ["k"])
+    t.swap(spark.createDataFrame([(1, 1)], "k long, v int").coalesce(1))
+    before = t.manifest()["bytes"]
+    t.apply(spark.range(2000).selectExpr("id AS k", "2 AS v"), spark.createDataFrame([], "k long"))
+    m = t.manifest()
+    assert m["sets"] == [] and m["buckets"] > 1 + before // 1000 and t.read().agg(F.sum("v")).first()[0] == 4000
+
+
+def test_two_writers_lose_nothing(spark, tmp_path):
+    first = VersionedTable(spark, str(tmp_path / "t"), ["k"])
+    first.swap(spark.createDataFrame([], "k long, v int"))
+    none = spark.createDataFrame([], "k long")
+
+    def write(w):
+        t = VersionedTable(spark, first.path, ["k"])
+        for n in range(4):
+            t.apply(spark.createDataFrame([(w * 10 + n, w)], "k long, v int"), none)
+
+    with ThreadPoolExecutor(3) as pool:
+        list(pool.map(write, range(3)))
+    assert {r.k for r in first.read().collect()} == {w * 10 + n for w in range(3) for n in range(4)} and first.version == 13
+    assert not first.files.create(f"{first.path}/_versions/{13:020d}", "{}")
 
 
 def test_tenants(spark):

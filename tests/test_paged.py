@@ -2,7 +2,7 @@ import random
 import struct
 
 import pytest
-from paged_fixture import INT_KEY, INT_VALUE, Builder, integer, live, row, simple, varying
+from paged_fixture import INT_KEY, INT_VALUE, Builder, data_page, integer, live, record, row, simple, varying
 
 from stratamend.functions import types as K
 from stratamend.functions.types import Field
@@ -11,7 +11,7 @@ from stratamend.plans import load
 from stratamend.plans.state import StateStore
 from stratamend.plans.table import VersionedTable
 from stratamend.sources import pagefile as P
-from stratamend.sources.paged import packed
+from stratamend.sources.paged import changed_versions
 from stratamend.streaming import feed as S
 
 
@@ -26,7 +26,7 @@ def found(spark, path, watermark=100, gens=None, keys=None):
 @pytest.mark.parametrize("version", [12, 13, 14])
 def test_catalog(tmp_path, spark, version):
     b = Builder(tmp_path / "f", version)
-    b.table(130, "Vendas", [("NROVENDA", INT_KEY), ("CLIENTE", Field(K.VARYING, 0, 22, offset=8)), ("TOTAL", Field(K.LONG, -2, 4, offset=32))], ["NROVENDA", "CLIENTE"], pages=[(1, [P.record(5, row([INT_KEY, Field(K.VARYING, 0, 22, offset=8), Field(K.LONG, -2, 4, offset=32)], [integer(3), varying("José €"), integer(1234)]), fmt=1)])], positions=[2, 0, None])
+    b.table(130, "Vendas", [("NROVENDA", INT_KEY), ("CLIENTE", Field(K.VARYING, 0, 22, offset=8)), ("TOTAL", Field(K.LONG, -2, 4, offset=32))], ["NROVENDA", "CLIENTE"], pages=[(1, [record(5, row([INT_KEY, Field(K.VARYING, 0, 22, offset=8), Field(K.LONG, -2, 4, offset=32)], [integer(3), varying("José €"), integer(1234)]), fmt=1)])], positions=[2, 0, None])
     b.table(131, "A_VIEW", [("X", INT_KEY)], view=True).table(1, "SYS$T", [("X", INT_KEY)], system=1).table(132, "EMPTY", [("X", INT_KEY)])
     path = b.write()
     with P.PageFile(path) as f:
@@ -64,7 +64,7 @@ def test_fragments_and_formats(tmp_path, spark):
     text = row([INT_KEY, wide], [integer(1), b"HELLOWORLD"])
     b = Builder(tmp_path / "f", size=1024)
     # head on the first data page (3), the rest on the second (4)
-    pages = [(1, [P.record(7, text[:13], fmt=2, link=(4, 0)), P.record(8, row([INT_KEY], [integer(2)]), fmt=1)]), (1, [P.record(7, text[13:], P.FRAGMENT, fmt=2), P.record(9, row([INT_KEY, wide], [integer(3), None]), fmt=2)])]
+    pages = [(1, [record(7, text[:13], fmt=2, link=(4, 0)), record(8, row([INT_KEY], [integer(2)]), fmt=1)]), (1, [record(7, text[13:], P.FRAGMENT, fmt=2), record(9, row([INT_KEY, wide], [integer(3), None]), fmt=2)])]
     path = b.table(130, "T", [("ID", INT_KEY), ("NAME", wide)], ["ID"], {1: [INT_KEY], 2: [INT_KEY, wide]}, pages).write()
     assert sorted(map(tuple, load.read_table(spark, path, "t").collect())) == [(1, "HELLOWORLD"), (2, None), (3, None)]
     assert sorted(r._slot for r in load.read_table(spark, path, "t", versions=True).collect()) == [0, 1, 1]
@@ -82,7 +82,7 @@ STUB = P.DELETED
 
 
 def stub(txn, back):
-    return P.record(txn, b"", STUB, 1, back)
+    return record(txn, b"", STUB, 1, back)
 
 
 class TestScan:
@@ -120,9 +120,9 @@ class TestScan:
         assert found(spark, path, gens=[(3, 8), (9, 1)], keys=[(3, 10), (9, 77)])[1] == [(77, "vanished")]
 
     def test_chains(self, tmp_path, spark):
-        path = simple(tmp_path / "f", [(8, [stub(101, (3, 1)), P.record(90, b"", P.CHAIN | P.DELETED, 1, (3, 2)), live(80, 77, 1, P.CHAIN)])])
+        path = simple(tmp_path / "f", [(8, [stub(101, (3, 1)), record(90, b"", P.CHAIN | P.DELETED, 1, (3, 2)), live(80, 77, 1, P.CHAIN)])])
         assert found(spark, path)[1] == [(77, "stub")]
-        blob = simple(tmp_path / "g", [(8, [stub(101, (3, 1)), P.record(90, b"x" * 30, P.BLOB)])])
+        blob = simple(tmp_path / "g", [(8, [stub(101, (3, 1)), record(90, b"x" * 30, P.BLOB)])])
         up, gone, _, c = found(spark, blob)
         assert gone == [] and c.unresolved.count() == 1
         none = simple(tmp_path / "h", [(8, [stub(101, (0, 0))])])
@@ -155,7 +155,7 @@ class TestScan:
 def test_unchanged_pages_are_not_decoded(tmp_path, spark):
     """With what is known, a scan reads stubs of unchanged pages, filled from their back version, and all of the others."""
     path = simple(tmp_path / "f", [(7, [stub(101, (3, 1)), live(50, 42, 1, P.CHAIN), live(60, 1, 1)]), (9, [live(102, 2, 2), stub(103, (0, 0))])])
-    v = load.read_table(spark, path, "t", versions=True, known=packed([(3, 7), (4, 8)]), resolve="true")
+    v = changed_versions(spark, path, "t", spark.createDataFrame([(3, 7), (4, 8), (9000, 1)], "page long, gen long"))
     assert sorted((r._page, r._slot, r._whole, r.id) for r in v.collect()) == [(3, 0, True, 42), (4, 0, True, 2), (4, 1, False, None)]
     gens, keys = spark.createDataFrame([(3, 7), (4, 8), (5, 1)], "page long, gen long"), spark.createDataFrame([(3, 1), (3, 42), (4, 9), (5, 77)], "page long, id int")
     c = changes.scan(v, ["id"], 100, gens, keys, pages=load.read_pages(spark, path, "t"), resolved=True)
@@ -234,7 +234,7 @@ def test_load_then_feed(tmp_path, spark):
     assert {x.id for x in target.read().collect()} == set(w.rows)
 
 
-def test_failures_stay_with_their_table(tmp_path, spark):
+def test_failures_stay_with_their_table(tmp_path, spark, caplog):
     b = Builder(tmp_path / "f")
     b.table(130, "T", [("ID", INT_KEY), ("VALOR", INT_VALUE)], ["ID"], pages=[(1, [live(5, 1, 1)])])
     b.table(131, "U", [("ID", INT_KEY), ("VALOR", INT_VALUE)], ["ID"], pages=[(1, [live(5, 2, 2)])])
@@ -257,6 +257,56 @@ def test_failures_stay_with_their_table(tmp_path, spark):
     assert set(f.poll()) == {"U"} and set(f.failed) == {"T"} and sink.again == 1
     sink.broken = False
     assert f.poll()["T"] == {"upserts": 1, "deletes": 0} and not f.failed
+    assert [r.getMessage() for r in caplog.records if r.levelname == "WARNING" and r.name == "stratamend"] == ["table NO_KEY is not followed: no primary key of NO_KEY"]
+    assert all(x["decode_s"] > 0 and x["sink_s"] > 0 for x in f.timings.values()) and set(f.timings) == {"T", "U"}
+
+
+def test_pages_of_many_stretches(tmp_path, spark):
+    """Partitions are stretches of pointer pages, however small."""
+    path = simple(tmp_path / "f", [(1, [live(5, k, k)]) for k in range(30)])
+    for each in (1, 3, 4096):
+        rows = load.read_table(spark, path, "t", pages_per_task=each)
+        assert sorted(r.id for r in rows.collect()) == list(range(30))
+
+
+@pytest.mark.parametrize("version", [13, 14])
+def test_blobs_of_many_pages(tmp_path, version):
+    """Blobs inline, over pages and over pages of pages, whole or an error."""
+    data = bytes(range(256)) * 40
+
+    def blob_page(body, pointers=False):
+        page = bytearray(1024)
+        page[0], page[1] = P.BLOB_PAGE, int(pointers)
+        struct.pack_into("<H", page, 24, len(body))
+        page[28 : 28 + len(body)] = body
+        return bytes(page)
+
+    def head(size, numbers, level, segments=1, flags=P.STREAM_BLOB):
+        h = bytearray(28)
+        struct.pack_into("<I", h, 4, len(numbers))
+        struct.pack_into("<H", h, 10, P.BLOB | flags)
+        struct.pack_into("<IQ" if version >= 14 else "<II", h, 12 if version >= 14 else 16, segments, size)
+        h[27 if version >= 14 else 12] = level
+        return bytes(h) + struct.pack(f"<{len(numbers)}I", *numbers)
+
+    b = Builder(tmp_path / "f", version, size=1024)
+    leaves = [b.place(blob_page(data[k : k + 996])) for k in range(0, len(data), 996)]
+    half = len(leaves) // 2
+    nodes = [b.place(blob_page(struct.pack(f"<{len(x)}I", *x), True)) for x in (leaves[:half], leaves[half:])]
+    parts = [data[k : k + 700] for k in range(0, len(data), 700)]
+    cut = b"".join(struct.pack("<H", len(x)) + x for x in parts)
+    pieces = [b.place(blob_page(cut[k : k + 996])) for k in range(0, len(cut), 996)]
+    slots = [head(len(data), leaves, 1), head(len(data), nodes, 2), head(len(data), pieces, 1, len(parts), 0), head(len(data), leaves[:-1], 1)]
+    path = b.table(130, "T", [("ID", INT_KEY)], pages=[(1, slots)]).write()
+    with P.PageFile(path) as f:
+        bid = lambda slot: struct.pack("<HBBI", 130, 0, 0, slot)
+        assert [f.blob(bid(k)) for k in range(3)] == [data] * 3
+        with pytest.raises(P.FormatError):
+            f.blob(bid(3))
+        with pytest.raises(LookupError):
+            f.blob(bid(9))
+    with P.PageFile(f"file://{path}") as f:
+        assert f.blob(bid(0)) == data
 
 
 def test_state_that_cannot_be_read(tmp_path, spark):
@@ -278,9 +328,12 @@ def test_landing_and_gateway(tmp_path, spark):
     S.LandingSink(spark, str(tmp_path / "land"), "stranger").full("T", ["id"], spark.createDataFrame([(1, 1)], "id int, valor int"))
     (tmp_path / "land/tenant=acme/t/99999999999999999999/upserts").mkdir(parents=True)  # a set that isn't complete
     g = S.Gateway(spark, str(tmp_path / "land"), {"acme": "replica_acme"}, str(tmp_path / "db"))
+    assert not spark.catalog.databaseExists("replica_acme")
     assert g.poll() == (3, ["stranger"]) and g.poll() == (0, ["stranger"])
     got = VersionedTable(spark, str(tmp_path / "db/replica_acme/t"), ["id"]).read()
     assert sorted(map(tuple, got.collect())) == [(2, 2), (9, 9)]
+    assert spark.catalog.databaseExists("replica_acme")
+    spark.sql("DROP DATABASE replica_acme")
 
 
 def test_command_line(tmp_path, spark, capsys):
@@ -299,7 +352,7 @@ def test_inspect_and_export_are_whole(tmp_path, spark, capsys):
     """Every slot of every table: more than a hundred, fragments, blobs and slots without a record too."""
     from stratamend.__main__ import main
 
-    odd = [P.record(7, b"x", P.FRAGMENT), P.record(7, b"x", P.BLOB), b"", b"short"]
+    odd = [record(7, b"x", P.FRAGMENT), record(7, b"x", P.BLOB), b"", b"short"]
     page = [live(5, k, k) for k in range(70)]
     path = simple(tmp_path / "f", [(1, page), (2, [*page, *odd])])
     assert main(["inspect", path]) == 0
