@@ -1,13 +1,16 @@
 """One query for each operator over the driver's tables, with SQL that DuckDB runs on the same tables.
 
-The tables hold no paged file, so keys stand in for its structure: an order's
-page, slot, transaction and flags follow from its key by integer arithmetic.
+The tables hold no paged file, so for the plans over versions keys stand in for
+its structure: an order's page, slot, transaction and flags follow from its key
+by integer arithmetic.  ``pagedqueries`` writes such a file and reads it.
 """
 
 from __future__ import annotations
 
+import uuid
+
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import codecs as C
@@ -15,7 +18,7 @@ from ..functions import copybinary, frames
 from ..functions import types as K
 from ..operators import catalog, changes, merge, versions
 from ..streaming import feed
-from . import load, tenants
+from . import load, pagedqueries, tenants
 from .scratch import folder
 from .state import StateStore
 from .table import VersionedTable
@@ -236,12 +239,6 @@ def cycle_stats(spark, d):
     return by_page.agg(F.sum("u").alias("upserts"), F.sum("x").alias("deletes"), F.count(F.lit(1)).alias("pages"), F.count_if(~F.col("changed")).alias("pages_skipped"), F.sum("r").alias("records_checked"))
 
 
-@query("SELECT CAST(0 AS BIGINT) AS upserts, CAST(0 AS BIGINT) AS deletes")
-def noop_cycle(spark, d):
-    v = _versions(spark, d).where(F.col("txn") > 100000)
-    return v.agg(F.count_if(F.col("flags") == 0).alias("upserts"), F.count_if(F.col("flags") == 1).alias("deletes"))
-
-
 # codecs
 
 
@@ -396,12 +393,13 @@ def chunk_roundtrip(spark, d):
 
 @query(
     """WITH RECURSIVE v AS (SELECT event_id, CASE WHEN event_id % 4 <> 0 THEN event_id - 1 END AS back FROM events),
-    walk(root, node, depth) AS (SELECT event_id, event_id, 0 FROM v WHERE event_id % 3 = 0 UNION ALL SELECT w.root, v.back, w.depth + 1 FROM walk w JOIN v ON v.event_id = w.node WHERE v.back IS NOT NULL AND w.depth < 8)
+    walk(root, node, depth) AS (SELECT event_id, event_id, 0 FROM v UNION ALL SELECT w.root, v.back, w.depth + 1 FROM walk w JOIN v ON v.event_id = w.node WHERE v.back IS NOT NULL AND w.depth < 8)
     SELECT root, node, depth FROM walk"""
 )
 def version_chain(spark, d):
-    _read(spark, d, "events").selectExpr("event_id", "CASE WHEN event_id % 4 <> 0 THEN event_id - 1 END AS back").createOrReplaceTempView("stratamend_chain")
-    return versions.chain(spark, "stratamend_chain", "event_id % 3 = 0", "event_id", "back")
+    view = f"stratamend_chain_{uuid.uuid4().hex}"  # each caller's own
+    _read(spark, d, "events").selectExpr("event_id", "CASE WHEN event_id % 4 <> 0 THEN event_id - 1 END AS back").createOrReplaceTempView(view)
+    return versions.chain(spark, view, "true", "event_id", "back")
 
 
 def _base(spark, d) -> DataFrame:
@@ -484,14 +482,6 @@ def cold_start(spark, d):
     return counts[0].join(counts[1], F.lit(True)).join(counts[2], F.lit(True))
 
 
-@query(f"SELECT DISTINCT page, pk FROM {_V} v WHERE (pk % 11 <> 0 AND {_CHANGED}) OR NOT {_CHANGED}")
-def snapshot_advance(spark, d):
-    v = _versions(spark, d)
-    changed = _state(v).where("changed").select("page")
-    kept = v.select("page", "pk").join(changed, "page", "left_anti")
-    return _now(v).join(changed, "page", "left_semi").unionByName(kept).distinct()
-
-
 @query(f"SELECT count(*) AS upserts, 0 AS deletes FROM {_V} v WHERE flags = 0 AND txn > {MARK}")
 def untracked_pk(spark, d):
     """A key column that the table lacks turns deletes off, not upserts."""
@@ -529,8 +519,8 @@ def state_roundtrip(spark, d):
 
 @query("SELECT o_orderkey, o_custkey, o_totalprice FROM orders WHERE o_orderkey % 3 <> 0 AND o_orderkey % 5 <> 0 UNION ALL SELECT * FROM " + _UPS)
 def atomic_swap(spark, d):
-    """A whole table swapped in over another, then a change set into its buckets."""
-    base, t = _base(spark, d), VersionedTable(spark, folder(spark, "table"), ["o_orderkey"], 4)
+    """A whole table swapped in over another, then a change set beside it."""
+    base, t = _base(spark, d), VersionedTable(spark, folder(spark, "table"), ["o_orderkey"])
     t.swap(base.where("o_orderkey % 2 = 0"))
     t.swap(base)
     t.apply(_ups(base), base.where("o_orderkey % 3 = 0"))
@@ -545,13 +535,6 @@ def failure_isolation(spark, d):
     return spark.createDataFrame(rows, "name string, n_rows long, status string")
 
 
-@query("SELECT user_id, event_id FROM (SELECT user_id, event_id, event_type, lag(event_type) OVER (PARTITION BY user_id ORDER BY event_id) AS last FROM events) WHERE last IS DISTINCT FROM event_type")
-def stream_trigger(spark, d):
-    """A poll fires when what it sees differs from the last one; the first always does."""
-    last = F.lag("event_type").over(Window.partitionBy("user_id").orderBy("event_id"))
-    return _read(spark, d, "events").withColumn("last", last).where(~F.col("last").eqNullSafe(F.col("event_type"))).select("user_id", "event_id")
-
-
 @query("SELECT user_id, event_id, event_type, value FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC) AS r FROM events) WHERE r = 1")
 def stream_replay(spark, d):
     """The events as a stream of four files, merged by user into a versioned table."""
@@ -559,7 +542,7 @@ def stream_replay(spark, d):
     events = _read(spark, d, "events").select("user_id", "event_id", "event_type", "value")
     for k in range(4):
         events.where(F.col("event_id") % 4 == k).coalesce(1).write.mode("append").parquet(f"{at}/in")
-    target = VersionedTable(spark, f"{at}/out", ["user_id"], 4)
+    target = VersionedTable(spark, f"{at}/out", ["user_id"])
     feed.replay(spark, f"{at}/in", "user_id long, event_id long, event_type string, value double", ["user_id"], ["event_id"], target, f"{at}/check")
     return target.read()
 
@@ -586,3 +569,6 @@ def tenant_routing(spark, d):
 def tenant_reject(spark, d):
     return tenants.rejected(_customers(spark, d), tenants.registry(_values(spark, _ENTRIES)), "tenant")
 
+
+QUERIES |= pagedqueries.QUERIES
+SQL |= pagedqueries.SQL
