@@ -180,42 +180,25 @@ def member(x: np.ndarray, table: np.ndarray) -> np.ndarray:
 
 
 def difference_cover(q: int) -> tuple[np.ndarray, int]:
-    """A perfect difference set of q + 1 residues modulo v = q * q + q + 1, for a power q of a prime.
+    """A perfect difference set of q + 1 residues modulo v = q * q + q + 1, for a prime q (Singer's construction).
 
     Any two places i, j have a step d < v at which both i + d and j + d are
-    in the cover.  Some such set is its own multiple by the prime (Hall's
-    multiplier theorem), so it is a union of the orbits of that product.
+    in the cover.  The set holds the exponents at which the powers of a
+    generator of GF(q**3) fall in a plane.
     """
     v = q * q + q + 1
-    prime = next(p for p in range(2, q + 1) if q % p == 0)
-    left, orbits = set(range(v)), []
-    while left:
-        x, orbit = min(left), []
-        while x in left:
-            left.remove(x)
-            orbit.append(x)
-            x = x * prime % v
-        orbits.append(orbit)
-
-    def grown(held: list, used: set, k: int):
-        if len(held) == q + 1:
-            return held
-        for j in range(k, len(orbits)):
-            more, steps = [*held, *orbits[j]], set(used)
-            if len(more) > q + 1:
-                continue
-            for a in orbits[j]:
-                for b in more:
-                    if a != b and (b in held or a < b):
-                        steps |= {(a - b) % v, (b - a) % v}
-            if len(steps) == len(more) * (len(more) - 1) and (found := grown(more, steps, j + 1)):
-                return found
-        return None
-
-    found = grown([], set(), 0)
-    if not found:
-        raise ValueError(f"there is no such set for {q}")
-    return np.sort(np.array(found, np.int64)), v
+    for c0 in range(1, q):
+        for c1 in range(q):
+            for c2 in range(q):
+                x, found = (1, 0, 0), []
+                for i in range(v):
+                    if x[2] == 0:
+                        found.append(i)
+                    top = x[2]  # times t, with t**3 = c2 t**2 + c1 t + c0
+                    x = (top * c0 % q, (x[0] + top * c1) % q, (x[1] + top * c2) % q)
+                if len(found) == q + 1 and is_cover(found, v):
+                    return np.array(found, np.int64), v
+    raise ValueError(f"{q} is not a prime")
 
 
 def is_cover(d, v: int) -> bool:
