@@ -1,4 +1,13 @@
-"""A corpus from raw documents: five stages, each over all that the one before it kept."""
+"""A corpus from raw documents: five stages, each over all that the one before it kept.
+
+Rows: null texts count as empty, and empty texts are judged like others: the
+classifier scores them, equal ones are one document, they link with no near
+copy and hold no benchmark words.  Rows without id are judged by their text,
+and rows that share an id but not a text one by one.  Of ties, the id named by
+the stage decides.  A very long text is held whole by one task.  Empty tables
+give empty results.  Extra columns go along up to the last stage, whatever
+their names.
+"""
 
 from __future__ import annotations
 

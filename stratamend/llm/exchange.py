@@ -47,7 +47,9 @@ def chunked(docs: DataFrame, total: int, id_col: str = "doc_id", text: str = "te
     """(chunk, id, text) with documents dealt into chunks by id (a row without id by its text) and by the input partition.
 
     The partition keeps an id or a null id that very many rows share out of a
-    single chunk; it is the same in a repeated task.
+    single chunk.  ``docs`` must deal its rows to the same partitions whenever
+    it is evaluated, as a scan of files does; store the result of a shuffle
+    first (``stored``).
     """
     key, body = F.col(id_col).cast("long").alias("id"), F.col(text).cast("string").alias("text")
     out = docs.select(key, body)

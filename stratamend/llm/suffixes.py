@@ -1,22 +1,24 @@
-"""Substring dedup over suffixes, by the difference-cover way to order them.
+"""Substring dedup over suffixes sampled by difference covers.
 
-A repeat of ``length`` bytes only needs suffixes compared to that depth, which
-bounds the recursion of the difference-cover algorithm:
+A repeat of ``length`` bytes only needs suffixes compared to that depth, so
+the samples are narrowed in two levels and no suffix array is built:
 
 1. sample the suffixes whose place modulo v is in a difference cover, name
-   their first bytes (any long repeat aligns two samples within v places),
-   sort the names, and discard samples whose name is unique;
-2. recurse on what is left with a denser cover and longer names, three of the
-   first level's names put together;
-3. merge in the remaining suffixes: those that a surviving sample reaches are
-   named by their first ``length`` bytes, sorted, and compared with their
-   neighbours; equal neighbours are a repeat.
-
-Names are positions in the order of hashes, not of the alphabet: neighbours
-with equal prefixes stand together either way, and only equality is asked.
-The full suffix array, which takes many times the input on disk, is never
-built.  Copies of a whole document are one class beforehand: they are removed
-entirely, and one of them stands for the class against other documents.
+   their first bytes by a hash (any long repeat aligns two samples within v
+   places), group the names, and discard samples whose name is unique;
+2. do so again, among what the survivors reach, with a denser cover and longer
+   names, which are hashes of the text itself and not made of the first
+   level's names;
+3. take the suffixes that a surviving sample reaches, name them by their first
+   ``length`` bytes, sort the names, and compare neighbours; equal neighbours
+   are a repeat.
+
+This is narrower than the difference-cover algorithm: names are not ranks,
+nothing recurses on a string of names, and suffixes are ordered by hash, which
+keeps equal prefixes adjacent but does not sort the texts.  The full suffix
+array would need many times the input on disk.  Copies of a whole document are
+one class beforehand: they are removed entirely, and one of them stands for
+the class against other documents.
 
 Rows: null counts as the empty text; texts under ``length`` bytes stay.  Rows
 are documents of their own, repeated ids and null ids included.  An empty
