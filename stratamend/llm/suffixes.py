@@ -22,7 +22,8 @@ the class against other documents.
 
 Rows: null counts as the empty text; texts under ``length`` bytes stay.  Rows
 are documents of their own, repeated ids and null ids included.  An empty
-table gives an empty result.  Extra columns are ignored.  Matches never cross
+table gives an empty result.  Extra columns are ignored.  A very long text is
+held whole by one task.  Matches never cross
 documents.  Names have 63 bits in steps 1 and 2, where a clash only adds
 candidates, and 79 bits in step 3: fewer than 50 clashes are expected among
 the repeats of 100 TB.
