@@ -46,7 +46,7 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Two sampled segmentations of each document."""
     ship(spark)
-    return lattice.encode(docs, lattice.Vocabulary.load(PIECES), k=2, seed=1)
+    return lattice.encode(docs, lattice.Vocabulary.load(PIECES), k=2, seed=1, slice_bytes=1 << 20)
 
 
 STAGES = [("quality", quality), ("exact", exact), ("near", near), ("decontaminate", decontaminate), ("encode", encode)]
