@@ -142,6 +142,22 @@ class Model:
         _, _, _, a, _, y, _, _ = self._forward((x - self.mean) / self.std, begin)
         return y.astype(np.float64), a
 
+    def slopes(self, x: np.ndarray, begin: np.ndarray, labels: np.ndarray) -> dict[str, np.ndarray]:
+        """Slopes of the mean log loss of these bags, whose features are scaled already."""
+        p = self.p
+        h, t, g, a, z, y, bag, at = self._forward(x, begin)
+        d = ((y - labels) / len(labels)).astype(np.float32)
+        grad = {"o": z.T @ d, "c": d.sum(keepdims=True)}
+        dz = (d[:, None] * p["o"])[bag]
+        da = (h * dz).sum(1)
+        ds = a * (da - np.add.reduceat(a * da, at)[bag])
+        grad["w"] = (t * g).T @ ds
+        dg = ds[:, None] * p["w"]
+        dt, du = dg * g * (1 - t * t), dg * t * g * (1 - g)
+        grad["V"], grad["U"] = h.T @ dt, h.T @ du
+        dh = (a[:, None] * dz + dt @ p["V"].T + du @ p["U"].T) * (1 - h * h)
+        return grad | {"W": x.T @ dh, "b": dh.sum(0)}
+
     def fit(self, x: np.ndarray, begin: np.ndarray, labels: np.ndarray, epochs: int = 30, batch: int = 128, rate: float = 0.01, decay: float = 1e-4, seed: int = 7) -> Model:
         if not len(labels) or labels.min() == labels.max():
             self.constant = float(labels.mean()) if len(labels) else 0.5
@@ -155,19 +171,7 @@ class Model:
                 bags = order[i : i + batch]
                 size = (begin[1:] - begin[:-1])[bags]
                 rows = np.concatenate([np.arange(begin[k], begin[k + 1]) for k in bags])
-                xs = x[rows]
-                h, t, g, a, z, y, bag, at = self._forward(xs, np.concatenate([[0], np.cumsum(size)]))
-                d = ((y - labels[bags]) / len(bags)).astype(np.float32)
-                grad = {"o": z.T @ d, "c": d.sum(keepdims=True)}
-                dz = (d[:, None] * p["o"])[bag]
-                da = (h * dz).sum(1)
-                ds = a * (da - np.add.reduceat(a * da, at)[bag])
-                grad["w"] = (t * g).T @ ds
-                dg = ds[:, None] * p["w"]
-                dt, du = dg * g * (1 - t * t), dg * t * g * (1 - g)
-                grad["V"], grad["U"] = h.T @ dt, h.T @ du
-                dh = (a[:, None] * dz + dt @ p["V"].T + du @ p["U"].T) * (1 - h * h)
-                grad["W"], grad["b"] = xs.T @ dh, dh.sum(0)
+                grad = self.slopes(x[rows], np.concatenate([[0], np.cumsum(size)]), labels[bags])
                 step += 1
                 pace = rate * (1 - epoch / epochs) * np.sqrt(1 - 0.999**step) / (1 - 0.9**step)
                 for k in p:
