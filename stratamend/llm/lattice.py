@@ -41,7 +41,7 @@ from . import kernels as K
 
 MARK, OWN_MARK = 0x2581, 0x110000
 RESULT = "doc_id long, sample int, n_tokens long, log_prob double, perturbed double, inclusion double, ids binary, exact boolean"
-#: Units of more characters take the slower way, one by one.
+#: Units of more characters take the slower way, one by one, as do shorter ones where weights are very uneven.
 LONG = 48
 _NONE = -1
 
@@ -65,8 +65,10 @@ class Vocabulary:
         one = {p for _, p, _ in pieces if len(p) == 1}
         pieces = [x for x in pieces if all(c in one for c in x[1])]
         self.ids = np.array([i for i, _, _ in pieces], np.int64)
-        log = np.array([-np.log(2.0 + min(-s, size)) if ranked else s for _, _, s in pieces]) / temperature
-        self.weight = np.exp(np.maximum(log, -12.0))
+        self.log = np.array([-np.log(2.0 + min(-s, size)) if ranked else s for _, _, s in pieces], np.float64) / temperature
+        self.weight = np.exp(self.log)
+        # the product of as many weights stays far from a double's limits
+        self.long = int(min(LONG, 576 / np.abs(self.log).max(initial=1)))
         self.cut = not any(a != "▁" and b == "▁" for _, p, _ in pieces for a, b in zip(p, p[1:]))
         self.longest = max((len(p) for _, p, _ in pieces), default=1)
         self.known = np.zeros(OWN_MARK + 1, bool)
@@ -208,11 +210,11 @@ class _One:
             h = v.step(h[:n], x[step - 1 :])
             piece = v.find(K.mix(h))
             for i in np.flatnonzero((piece >= 0) & (piece < v.count)).tolist():
-                self.edges[i + step].append((i, float(v.weight[piece[i]]), int(piece[i])))
+                self.edges[i + step].append((i, float(v.log[piece[i]]), int(piece[i])))
         # chances of the edges into each place, from sums kept in scale
         log = [0.0]
         for j in range(1, self.size + 1):
-            s = [log[i] + np.log(w) for i, w, _ in self.edges[j]]
+            s = [log[i] + w for i, w, _ in self.edges[j]]
             top = max(s)
             total = top + np.log(sum(np.exp(y - top) for y in s))
             log.append(total)
@@ -299,7 +301,7 @@ class _Slice:
         for size in np.unique(self.size[self.plain]).tolist():
             at = np.flatnonzero(self.plain & (self.size == size))
             _, one, unit = np.unique(names[at], return_index=True, return_inverse=True)
-            if size > LONG:
+            if size > v.long:
                 self.groups.append((at, None, None))
             else:
                 self.group[at], self.unit[at] = len(self.groups), unit

@@ -107,3 +107,16 @@ def test_all_paths_are_found():
     for path, p in want.items():
         q = sum(x * y / (1 - x) * p / (1 - x - y) for a, x in want.items() for b, y in want.items() if len({a, b, path}) == 3)
         assert abs(third[path] / n - q) < 4 * np.sqrt(q * (1 - q) / n) + 1e-3
+
+
+def test_small_weights_are_kept():
+    """Scores of any size count as they are, also where a product of weights leaves a double's range."""
+    v = Vocabulary([(300, "▁", -0.5), (301, "a", -13.5), (302, "b", -16.25), (303, "ab", -28.5), (304, "▁a", -15.25)], list(range(3, 259)), 400)
+    want = every_path(v, "ab")
+    assert len(want) == 3 and 0 < v.long < 48
+    for rows in sample(v, ["ab"] * 50, list(range(50)), 3):
+        assert {tuple(r[0].tolist()): pytest.approx(np.exp(r[1])) for r in rows} == want
+    v = Vocabulary([(300, "▁", -900.5), (301, "b", -900.25), (302, "▁b", -1800.25)], list(range(3, 259)), 400)
+    want = {(302,): 1 / (1 + np.exp(-0.5)), (300, 301): 1 / (1 + np.exp(0.5))}
+    for rows in sample(v, ["b"] * 50, list(range(50)), 2):
+        assert {tuple(r[0].tolist()): pytest.approx(np.exp(r[1])) for r in rows} == want
