@@ -117,6 +117,24 @@ word AS (SELECT doc_id, unnest(words) AS word, generate_subscripts(words, 1) AS
 kept AS (SELECT doc_id, count(*) AS n, string_agg(word, ' ' ORDER BY place) AS body FROM word ANTI JOIN gone USING (doc_id, place) GROUP BY doc_id)
 SELECT doc_id, len(words) AS n_words, len(words) - coalesce(n, 0) AS n_removed, sha256(coalesce(body, '')) AS kept_sha256
 FROM d LEFT JOIN kept USING (doc_id)""",
+    "op8_suffix_difference_cover": """
+WITH d AS (SELECT row_number() OVER () AS doc, doc_id, hex(encode(coalesce(text, ''))) AS body FROM documents),
+b AS (SELECT doc, body, unnest(range(0, len(body) // 2 - 399, 400)) AS since FROM d),
+c AS (SELECT doc, since, substr(body, 2 * since + 1, 1598) AS part FROM b),
+p AS (SELECT doc, since, part, unnest(range(0, least(400, len(part) // 2 - 399))) AS pos FROM c),
+s AS (SELECT doc, since + pos AS pos, md5(substr(part, 2 * pos + 1, 800)) AS key FROM p),
+again AS (SELECT key FROM s GROUP BY key HAVING count(*) > 1),
+hit AS (SELECT doc, pos, pos > 400 + lag(pos) OVER (PARTITION BY doc ORDER BY pos) AS apart FROM s SEMI JOIN again USING (key)),
+run AS (SELECT doc, pos, count(*) FILTER (WHERE apart) OVER (PARTITION BY doc ORDER BY pos) AS run FROM hit),
+span AS (SELECT doc, min(pos) AS since, max(pos) + 400 AS till FROM run GROUP BY doc, run),
+gap AS (SELECT doc, till AS since, lead(since) OVER (PARTITION BY doc ORDER BY since) AS till FROM span
+        UNION ALL SELECT doc, 0, min(since) FROM span GROUP BY doc),
+kept AS (SELECT doc, string_agg(substr(body, 2 * since + 1, 2 * (coalesce(till, len(body) // 2) - since)), '' ORDER BY since) AS rest
+         FROM gap JOIN d USING (doc) GROUP BY doc),
+gone AS (SELECT doc, count(*) AS n_spans, CAST(sum(till - since) AS BIGINT) AS n_removed FROM span GROUP BY doc)
+SELECT doc_id, len(body) // 2 AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+       sha256(unhex(coalesce(rest, body))) AS kept_sha256
+FROM d LEFT JOIN gone USING (doc) LEFT JOIN kept USING (doc)""",
     "op9_ngram_jaccard_rtree": r"""
 WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all(LOWERED(coalesce(text, '')), '[^\x20\x09-\x0D]+') AS words FROM documents),
 s AS (SELECT DISTINCT doc_id, hash(unnest(list_transform(range(1, greatest(2, len(words) - 1)), lambda i: array_to_string(words[i:i + 2], ' ')))) AS gram

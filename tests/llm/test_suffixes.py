@@ -30,3 +30,29 @@ def test_kept_bytes_and_spans(frame):
 
 def test_no_rows(frame):
     assert rows_of(repeated_bytes(frame([]))) == []
+
+
+def test_sql(spark):
+    """The SQL gives the operator's rows."""
+    import duckdb
+
+    from stratamend.llm.queries import oracle_sql, queries
+
+    sf, name = "/root/testdata/sf0.001", "op8_suffix_difference_cover"
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{sf}/documents.parquet'")
+    found = con.sql(oracle_sql()[name])
+    got = queries()[name](spark, sf)
+    assert found.columns == got.columns == COLS
+    assert rows_of(got) == sorted(found.fetchall(), key=repr)
+
+
+def test_sql_of_planted_rows(planted):
+    import duckdb
+    import pyarrow as pa
+
+    from stratamend.llm.queries import oracle_sql
+
+    con = duckdb.connect()
+    con.register("documents", pa.table({"doc_id": pa.array([i for i, _ in planted], pa.int64()), "text": pa.array([t for _, t in planted], pa.string())}))
+    assert sorted(con.sql(oracle_sql()["op8_suffix_difference_cover"]).fetchall(), key=repr) == sorted(brute.suffixes(planted), key=repr)
