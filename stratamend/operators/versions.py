@@ -79,12 +79,12 @@ def resolve_stubs(stubs: DataFrame, versions: DataFrame, key: list[str], depth:
     return found, at.where("NOT found").select("_txn")
 
 
-def chain(spark, view: str, start: str, node: str, back: str, depth: int = DEPTH) -> DataFrame:
-    """(root, node, depth): each start's walk along back pointers in ``view``, by a recursive query of bounded depth."""
-    return spark.sql(
-        f"""WITH RECURSIVE walk(root, node, depth) AS (
-              SELECT {node}, {node}, 0 FROM {view} WHERE {start}
-              UNION ALL
-              SELECT w.root, v.{back}, w.depth + 1 FROM walk w JOIN {view} v ON v.{node} = w.node WHERE v.{back} IS NOT NULL AND w.depth < {depth})
-            SELECT root, node, depth FROM walk"""
-    )
+def chain(versions: DataFrame, start: str, node: str, back: str, depth: int = DEPTH) -> DataFrame:
+    """(root, node, depth): each start's walk along back pointers, however many rows that makes.  A step is a join of the last one's rows with the pointers."""
+    links = versions.where(F.col(back).isNotNull()).select(F.col(node).alias("at"), F.col(back).alias("to"))
+    step = versions.where(start).select(F.col(node).alias("root"), F.col(node).alias("node"))
+    steps = [step.withColumn("depth", F.lit(0))]
+    for k in range(1, depth + 1):
+        step = step.join(links, F.expr("node = at")).select("root", F.col("to").alias("node"))
+        steps.append(step.withColumn("depth", F.lit(k)))
+    return reduce(DataFrame.unionByName, steps)

@@ -7,8 +7,6 @@ by integer arithmetic.  ``pagedqueries`` writes such a file and reads it.
 
 from __future__ import annotations
 
-import uuid
-
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -397,9 +395,8 @@ def chunk_roundtrip(spark, d):
     SELECT root, node, depth FROM walk"""
 )
 def version_chain(spark, d):
-    view = f"stratamend_chain_{uuid.uuid4().hex}"  # each caller's own
-    _read(spark, d, "events").selectExpr("event_id", "CASE WHEN event_id % 4 <> 0 THEN event_id - 1 END AS back").createOrReplaceTempView(view)
-    return versions.chain(spark, view, "true", "event_id", "back")
+    events = _read(spark, d, "events").selectExpr("event_id", "CASE WHEN event_id % 4 <> 0 THEN event_id - 1 END AS back")
+    return versions.chain(events, "true", "event_id", "back")
 
 
 def _base(spark, d) -> DataFrame:

@@ -110,3 +110,19 @@ def test_tenants(spark):
     rows = spark.createDataFrame([("a", 1), ("z", 2), (None, 3)], "cn string, v int")
     assert [tuple(r) for r in tenants.routed(rows, reg, "cn").collect()] == [("a", 1, "two")]
     assert sorted((r.v for r in tenants.rejected(rows, reg, "cn").collect())) == [2, 3]
+
+
+def test_chains_of_many_rows(spark):
+    """The walk has no bound on its rows; doubled nodes walk each way, a pointer to nothing is the walk's end, and a circle ends at the depth."""
+    limit = "spark.sql.cteRecursionRowLimit"
+    was, pairs = spark.conf.get(limit), [(k, k - 1 if k % 4 else None) for k in range(1, 400)] + [(6, 2), (1000, 1001), (1001, 1000), (None, 3)]
+    spark.conf.set(limit, 100)
+    try:
+        got = versions.chain(spark.createDataFrame(pairs, "n int, b int"), "n IS NULL OR n % 2 = 0", "n", "b", 5).collect()
+    finally:
+        spark.conf.set(limit, was)
+    want, step = [], [(n, n) for n, _ in pairs if n is None or n % 2 == 0]
+    for depth in range(6):
+        want += [(*s, depth) for s in step]
+        step = [(root, b) for root, at in step for n, b in pairs if at is not None and n == at and b is not None]
+    assert sorted(map(tuple, got), key=repr) == sorted(want, key=repr)

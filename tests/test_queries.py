@@ -72,3 +72,13 @@ def test_plans(spark):
         text = plan(QUERIES[name](spark, SF))
         assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text, name
     assert plan(QUERIES["apply_delta"](spark, SF)).count("LeftAnti") == 1
+
+
+def test_chains_beyond_the_row_limit_of_recursive_queries(spark, duck):
+    limit = "spark.sql.cteRecursionRowLimit"
+    was = spark.conf.get(limit)
+    spark.conf.set(limit, 100)
+    try:
+        same(spark, duck, QUERIES["version_chain"], SQL["version_chain"])
+    finally:
+        spark.conf.set(limit, was)
