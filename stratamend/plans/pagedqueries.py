@@ -9,64 +9,95 @@ from __future__ import annotations
 
 import os
 import struct
+from itertools import groupby
+from operator import itemgetter
 
-from pyspark.sql import DataFrame, SparkSession
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import types as K
 from ..sources import pagefile as P
-from ..sources.pagewriter import Builder, record, row, varying
+from ..sources.pagewriter import Builder, data_page, put_generation, put_pages, record, row, varying
 from ..streaming.feed import ChangeFeed, TableSink
 from .load import read_table
 from .scratch import folder
 from .state import StateStore
 from .table import VersionedTable
 
-PER_PAGE, FIRST_PAGE = 40, 3
+PER_PAGE, FIRST_PAGE, SIZE = 40, 3, 8192
 FIELDS = [("CUSTKEY", K.Field(K.INT64, 0, 8, offset=8)), ("NAME", K.Field(K.VARYING, 0, 42, offset=16)), ("NATIONKEY", K.Field(K.LONG, 0, 4, offset=60)), ("ACCTBAL", K.Field(K.DOUBLE, 0, 8, offset=64))]
 _CHANGED = "(c_custkey // 40) % 3 = 0"
 _GONE = f"({_CHANGED} AND c_custkey % 7 = 0)"
 
 
 class Customers:
-    """The file in a folder that tasks share, and a feed of it into a table."""
+    """The file in a folder that tasks share, and a feed of it into a table.
+
+    Pages of keys get successive numbers, whatever lies between the keys; tasks
+    encode them and write them to their places, so the driver holds pointers only.
+    """
 
     def __init__(self, spark: SparkSession, d: str):
         self.spark, at = spark, folder(spark, "paged")
-        self.rows = [tuple(r) for r in spark.read.parquet(f"{d}/customer.parquet").select("c_custkey", "c_name", "c_nationkey", "c_acctbal").orderBy("c_custkey").toLocalIterator()]
+        self.rows = spark.read.parquet(f"{d}/customer.parquet").select(F.expr(f"coalesce(c_custkey div {PER_PAGE}, 0)").alias("page"), "c_custkey", "c_name", "c_nationkey", "c_acctbal")
         local = at.removeprefix("file://").removeprefix("file:")
         os.makedirs(local, exist_ok=True)
         self.path, self.to, self.state = f"{local}/customers", f"{at}/to", StateStore(spark, f"{at}/state")
         self.target = VersionedTable(spark, f"{self.to}/customer", ["custkey"])
-        self.write(1)
+        self.numbers, room = self._numbered(f"{at}/pages")
+        Builder(self.path, size=SIZE).table(130, "CUSTOMER", FIELDS, ["CUSTKEY"], room=room).write()
+        self._put(self.rows, 1)
 
     def feed(self) -> ChangeFeed:
         return ChangeFeed(self.spark, self.path, TableSink(self.spark, self.to), self.state)
 
+    def _numbered(self, path: str) -> tuple[DataFrame, int]:
+        """(page, number) of all pages of keys, in order, with numbers that follow each other in the file; and how many they are."""
+        self.rows.select("page").distinct().repartitionByRange("page").withColumn("part", F.spark_partition_id()).write.parquet(path)
+        pages, starts, n = self.spark.read.parquet(path), [], 0
+        for part, count in sorted(map(tuple, pages.groupBy("part").count().collect())):  # a row for each task
+            starts.append((part, n + FIRST_PAGE))
+            n += count
+        place = F.row_number().over(Window.partitionBy("part").orderBy("page")) - 1
+        return pages.join(self.spark.createDataFrame(starts, "part int, start long"), "part").select("page", (F.col("start") + place).alias("number")), n
+
+    def _put(self, rows: DataFrame, txn: int) -> None:
+        """Pages as a transaction leaves them."""
+        path = self.path
+
+        def put(batches):
+            each = (r for batch in batches for r in zip(*(c.to_pylist() for c in batch.columns)))
+            pages = ((number, data_page(SIZE, _slots(txn, number, [r[1:] for r in held]), txn)) for number, held in groupby(each, itemgetter(0)))
+            yield pa.record_batch({"pages": pa.array([put_pages(path, pages)], pa.int64())})
+
+        placed = rows.join(self.numbers, "page").select("number", "c_custkey", "c_name", "c_nationkey", "c_acctbal")
+        placed.repartitionByRange("number").sortWithinPartitions("number", "c_custkey").mapInArrow(put, "pages long").agg(F.sum("pages")).collect()
+
     def write(self, generation: int, second: bool = False) -> None:
-        pages: list[list] = []
-        for r in self.rows:
-            page = r[0] // PER_PAGE
-            pages += [[] for _ in range(page + 1 - len(pages))]
-            pages[page].append(r)
-        out = []
-        for number, rows in enumerate(pages):
-            changed, slots = second and number % 3 == 0, []
-            for r in rows:
-                if changed and r[0] % 7 == 0:
-                    if r[0] % 14 == 0:
-                        slots += [record(2, b"", P.DELETED, 1, (FIRST_PAGE + number, len(slots) + 1)), self._stored(1, r, P.CHAIN)]
-                elif changed and r[0] % 5 == 0:
-                    slots.append(self._stored(2, (*r[:3], r[3] + 1)))
-                else:
-                    slots.append(self._stored(1, r))
-            out.append((2 if changed else 1, slots))
-        Builder(self.path, size=8192, generation=generation).table(130, "CUSTOMER", FIELDS, ["CUSTKEY"], pages=out).write()
-
-    @staticmethod
-    def _stored(txn: int, r: tuple, flags: int = 0) -> bytes:
-        values = [struct.pack("<q", r[0]), varying(r[1]), struct.pack("<i", r[2]), struct.pack("<d", r[3])]
-        return record(txn, row([f for _, f in FIELDS], values), flags, 1)
+        if second:
+            self._put(self.rows.where("page % 3 = 0"), 2)
+        put_generation(self.path, generation)
+
+
+def _slots(txn: int, number: int, rows: list[tuple]) -> list[bytes]:
+    """A page's records after the first transaction, or the second."""
+    slots = []
+    for r in rows:
+        if txn == 2 and r[0] % 7 == 0:
+            if r[0] % 14 == 0:
+                slots += [record(2, b"", P.DELETED, 1, (number, len(slots) + 1)), _stored(1, r, P.CHAIN)]
+        elif txn == 2 and r[0] % 5 == 0:
+            slots.append(_stored(2, (*r[:3], None if r[3] is None else r[3] + 1)))
+        else:
+            slots.append(_stored(1, r))
+    return slots
+
+
+def _stored(txn: int, r: tuple, flags: int = 0) -> bytes:
+    key, name, nation, balance = r
+    values = [struct.pack("<q", key), None if name is None else varying(name), None if nation is None else struct.pack("<i", nation), None if balance is None else struct.pack("<d", balance)]
+    return record(txn, row([f for _, f in FIELDS], values), flags, 1)
 
 
 def paged_snapshot(spark: SparkSession, d: str) -> DataFrame:
@@ -108,7 +139,9 @@ def _after(spark: SparkSession, d: str) -> Customers:
 
 def snapshot_advance(spark: SparkSession, d: str) -> DataFrame:
     """The keys that the state remembers by page, after both transactions."""
-    return _after(spark, d).state.load("customer").keys.select((F.col("page") - FIRST_PAGE).alias("page"), F.col("custkey").alias("pk"))
+    c = _after(spark, d)
+    keys = c.state.load("customer").keys.select(F.col("page").alias("number"), F.col("custkey").alias("pk"))
+    return keys.join(c.numbers, "number", "left").select("page", "pk")
 
 
 def paged_feed(spark: SparkSession, d: str) -> DataFrame:

@@ -363,3 +363,20 @@ def test_inspect_and_export_are_whole(tmp_path, spark, capsys):
     assert [(r["fragment"], r["blob"]) for r in rows[-4:-2]] == [("True", "False"), ("False", "True")]
     assert main(["export", path, "--to", str(tmp_path / "x")]) == 0
     assert (tmp_path / "x" / "t").exists()
+
+
+def test_pointer_pages_of_many_pages(tmp_path):
+    """A chain of pointer pages as long as it takes, for pages that are given and for room that is filled later."""
+    from stratamend.sources import pagewriter as W
+
+    page = lambda k: data_page(1024, [live(1, k, k)])
+    path = simple(tmp_path / "f", [(1, [live(1, k, k)]) for k in range(800)], size=1024)
+    with P.PageFile(path) as f:
+        assert len(f.data_pages(f.first_pointer(f.relation_id("T")))) == 800 and sum(1 for _ in f.rows(f.relation_id("T"))) == 800
+    for n in (0, 1, 2, 247, 248, 495, 496, 1500):
+        path = Builder(tmp_path / f"r{n}", size=1024).table(130, "T", [("ID", INT_KEY), ("VALOR", INT_VALUE)], ["ID"], room=n).write()
+        assert W.put_pages(path, ((3 + k, page(k)) for k in range(n))) == n
+        W.put_generation(path, 7)
+        with P.PageFile(path) as f:
+            assert f.generation() == 7 and len(list(f.rows(f.relation_id("T")))) == n
+            assert f.data_pages(f.first_pointer(f.relation_id("T"))) == list(range(3, 3 + n))

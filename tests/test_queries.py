@@ -82,3 +82,22 @@ def test_chains_beyond_the_row_limit_of_recursive_queries(spark, duck):
         same(spark, duck, QUERIES["version_chain"], SQL["version_chain"])
     finally:
         spark.conf.set(limit, was)
+
+
+@pytest.fixture(scope="module")
+def spread(tmp_path_factory):
+    """Customers whose keys are far apart, one negative and some without values: a file of a few pages."""
+    duckdb = pytest.importorskip("duckdb")
+    at = tmp_path_factory.mktemp("spread")
+    duckdb.sql(
+        f"""COPY (SELECT k + i * 1000003 AS c_custkey, CASE WHEN k % 9 <> 0 THEN 'Customer#' || k END AS c_name, CASE WHEN k % 8 <> 0 THEN CAST(k % 25 AS INTEGER) END AS c_nationkey, CASE WHEN k % 11 <> 0 THEN k / 4 END AS c_acctbal
+            FROM range(150) a(k), range(4) b(i) UNION ALL SELECT -50, 'x', 1, 0.5) TO '{at}/customer.parquet'"""
+    )
+    c = duckdb.connect()
+    c.execute(f"CREATE VIEW customer AS SELECT * FROM '{at}/customer.parquet'")
+    return str(at), c
+
+
+@pytest.mark.parametrize("name", ["paged_snapshot"])
+def test_paged_queries_of_spread_keys(spark, spread, name):
+    same(spark, spread[1], lambda s, _: QUERIES[name](s, spread[0]), SQL[name])
