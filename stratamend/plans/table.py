@@ -123,8 +123,12 @@ class VersionedTable:
         return name, [int(c.split("=")[1]) for c in self.files.children(f"{self.path}/{name}") if c.startswith(f"{column}=")]
 
     def _expected(self, df: DataFrame) -> int:
-        """Buckets for rows that aren't written yet, by the planner's estimate."""
-        size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+        """Buckets for rows that aren't written yet, by the planner's estimate; it multiplies the sides of a join, so no more than for all that is read."""
+        plan = df._jdf.queryExecution().optimizedPlan()
+        leaves = plan.collectLeaves()
+        sizes = [plan, *(leaves.apply(k) for k in range(leaves.size()))]
+        size, *read = (int(str(p.stats().sizeInBytes())) for p in sizes)
+        size = min(size, sum(read))
         return 16 if size >> 50 else size // BUCKET_BYTES + 1
 
     def staged_swap(self, df: DataFrame, version: int = 1, buckets: int | None = None) -> dict:

@@ -126,3 +126,11 @@ def test_chains_of_many_rows(spark):
         want += [(*s, depth) for s in step]
         step = [(root, b) for root, at in step for n, b in pairs if at is not None and n == at and b is not None]
     assert sorted(map(tuple, got), key=repr) == sorted(want, key=repr)
+
+
+def test_joined_rows_do_not_ask_for_buckets_of_all_pairs(spark, tmp_path):
+    """The planner takes a join for the product of its sides; a new table has no more buckets than what is read fills."""
+    a, b = (spark.range(100_000).select("id", F.rand(k).alias(f"v{k}")) for k in (1, 2))
+    t = VersionedTable(spark, str(tmp_path / "t"), ["id"])
+    t.swap(a.join(b, "id").where("id < 50"))
+    assert t.manifest()["buckets"] == 1 and t.read().count() == 50
