@@ -98,6 +98,6 @@ def spread(tmp_path_factory):
     return str(at), c
 
 
-@pytest.mark.parametrize("name", ["paged_snapshot", "noop_cycle", "stream_trigger", "paged_feed"])
+@pytest.mark.parametrize("name", ["paged_snapshot", "noop_cycle", "stream_trigger", "paged_feed", "snapshot_advance"])
 def test_paged_queries_of_spread_keys(spark, spread, name):
     same(spark, spread[1], lambda s, _: QUERIES[name](s, spread[0]), SQL[name])
