@@ -52,6 +52,14 @@ class Customers:
     def feed(self) -> ChangeFeed:
         return ChangeFeed(self.spark, self.path, TableSink(self.spark, self.to), self.state)
 
+    @staticmethod
+    def poll(feed: ChangeFeed) -> dict[str, dict]:
+        """One cycle.  A feed sets a table that fails aside and goes on; a query has no rows to give then, so it fails."""
+        found = feed.poll()
+        for e in feed.failed.values():
+            raise e
+        return found
+
     def _numbered(self, path: str) -> tuple[DataFrame, int]:
         """(page, number) of all pages of keys, in order, with numbers that follow each other in the file; and how many they are."""
         self.rows.select("page").distinct().repartitionByRange("page").withColumn("part", F.spark_partition_id()).write.parquet(path)
@@ -107,10 +115,10 @@ def paged_snapshot(spark: SparkSession, d: str) -> DataFrame:
 def noop_cycle(spark: SparkSession, d: str) -> DataFrame:
     """A file whose counter moved and nothing else: the scan finds nothing, and the target gets no version."""
     c = Customers(spark, d)
-    c.feed().poll()
+    c.poll(c.feed())
     before = c.target.version
     c.write(2)
-    found = c.feed().poll()["CUSTOMER"]
+    found = c.poll(c.feed())["CUSTOMER"]
     pages = c.state.load("customer").page_gens.agg(F.count(F.lit(1)).alias("pages"))
     return pages.select(F.lit(found["upserts"]).cast("long").alias("upserts"), F.lit(found["deletes"]).cast("long").alias("deletes"), F.lit(c.target.version - before).cast("long").alias("versions"), "pages")
 
@@ -122,7 +130,7 @@ def stream_trigger(spark: SparkSession, d: str) -> DataFrame:
     for poll in range(1, 5):
         if poll == 3:
             c.write(2, second=True)
-        found = feed.poll()
+        found = c.poll(feed)
         counts = found.get("CUSTOMER", {"upserts": 0, "deletes": 0})
         rows.append((poll, bool(found), counts["upserts"], counts["deletes"]))
     return spark.createDataFrame(rows, "poll int, fired boolean, upserts long, deletes long")

@@ -101,3 +101,21 @@ def spread(tmp_path_factory):
 @pytest.mark.parametrize("name", ["paged_snapshot", "noop_cycle", "stream_trigger", "paged_feed", "snapshot_advance"])
 def test_paged_queries_of_spread_keys(spark, spread, name):
     same(spark, spread[1], lambda s, _: QUERIES[name](s, spread[0]), SQL[name])
+
+
+@pytest.mark.parametrize("name", ["stream_trigger"])
+def test_a_feed_that_fails_fails_its_query(spark, spread, name, monkeypatch):
+    """The second change set isn't applied: the query has no rows, rather than those of the first."""
+    from stratamend.streaming.feed import TableSink
+
+    apply, sets = TableSink.apply, []
+
+    def broken(self, *a):
+        sets.append(a)
+        if len(sets) == 2:
+            raise OSError("no room")
+        apply(self, *a)
+
+    monkeypatch.setattr(TableSink, "apply", broken)
+    with pytest.raises(OSError, match="no room"):
+        QUERIES[name](spark, spread[0]).collect()
