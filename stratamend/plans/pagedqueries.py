@@ -139,9 +139,9 @@ def stream_trigger(spark: SparkSession, d: str) -> DataFrame:
 def _after(spark: SparkSession, d: str) -> Customers:
     c = Customers(spark, d)
     feed = c.feed()
-    feed.poll()
+    c.poll(feed)
     c.write(2, second=True)
-    feed.poll()
+    c.poll(feed)
     return c
 
 
