@@ -103,7 +103,7 @@ def test_paged_queries_of_spread_keys(spark, spread, name):
     same(spark, spread[1], lambda s, _: QUERIES[name](s, spread[0]), SQL[name])
 
 
-@pytest.mark.parametrize("name", ["stream_trigger", "paged_feed"])
+@pytest.mark.parametrize("name", ["stream_trigger", "paged_feed", "snapshot_advance"])
 def test_a_feed_that_fails_fails_its_query(spark, spread, name, monkeypatch):
     """The second change set isn't applied: the query has no rows, rather than those of the first."""
     from stratamend.streaming.feed import TableSink
