@@ -11,6 +11,9 @@ Departures from the reference's behaviour, each for a fault that it would
 otherwise have: one winner per key; old versions in a chain are never upserts;
 fragmented rows count; a key is deleted once, with its reason; pages that left
 the table count as changed and empty; keys may have any type.
+
+Pages, keys and versions all grow with the table, so joins of them are merge
+joins: the planner would broadcast a side whose compressed bytes look small.
 """
 
 from __future__ import annotations
@@ -28,24 +31,24 @@ def page_changes(pages: DataFrame, known: DataFrame | None) -> DataFrame:
     if known is None:
         return pages.select("page", "gen", F.lit(True).alias("changed"))
     was = known.select("page", F.col("gen").alias("was"))
-    return pages.join(was, "page", "left").select("page", "gen", (~F.col("gen").eqNullSafe(F.col("was"))).alias("changed"))
+    return pages.join(was.hint("merge"), "page", "left").select("page", "gen", (~F.col("gen").eqNullSafe(F.col("was"))).alias("changed"))
 
 
 def alive_keys(now: DataFrame, before: DataFrame, changed: DataFrame, key: list[str]) -> DataFrame:
     """Keys that exist: those now on changed pages, and those before on the others."""
-    kept = before.join(changed.select("page"), "page", "left_anti")
+    kept = before.join(changed.select("page").hint("merge"), "page", "left_anti")
     return now.select(*key).unionByName(kept.select(*key)).distinct()
 
 
 def express_deletes(now: DataFrame, before: DataFrame, changed: DataFrame, key: list[str]) -> DataFrame:
     """Keys that changed pages held before and that exist nowhere now."""
-    suspects = before.join(changed.select("page"), "page", "left_semi").select(*key).distinct()
-    return suspects.join(alive_keys(now, before, changed, key), key, "left_anti")
+    suspects = before.join(changed.select("page").hint("merge"), "page", "left_semi").select(*key).distinct()
+    return suspects.join(alive_keys(now, before, changed, key).hint("merge"), key, "left_anti")
 
 
 def retained(state: DataFrame, live: DataFrame) -> DataFrame:
     """State of the pages that the table still has."""
-    return state.join(live.select("page").distinct(), "page", "left_semi")
+    return state.join(live.select("page").distinct().hint("merge"), "page", "left_semi")
 
 
 @dataclass
@@ -77,33 +80,34 @@ def scan(versions: DataFrame, key: list[str], watermark: int, page_gens: DataFra
         pages = versions.select(F.col("_page").alias("page"), F.col("_gen").alias("gen")).distinct()
     seen = versions if committed is None else versions.join(committed.select(F.col("txn").alias("_txn")), "_txn", "left_semi")
     state = page_changes(pages, page_gens)
-    lost = pages.select("page").limit(0)
+    touched = state.where("changed").select("page")
     if page_gens is not None:
-        # pages that have left the table changed too, and hold nothing now
-        lost = page_gens.select("page").join(pages.select("page"), "page", "left_anti")
-    touched = state.where("changed").select("page").unionByName(lost)
+        # pages that have left the table changed too, and hold nothing now; an outer join, as joins with a union of these two fail in Spark 4.1
+        both = pages.select("page", F.col("gen").alias("now"), F.lit(True).alias("here")).join(page_gens.select("page", F.col("gen").alias("was")).hint("merge"), "page", "full")
+        touched = both.where(F.col("here").isNull() | ~F.col("now").eqNullSafe(F.col("was"))).select("page")
     if keys is None:
         now_pages = state.select("page")
     else:
         now_pages = touched
     flagged = state.select(F.col("page").alias("_page"), "changed")
-    seen = seen.join(flagged, "_page")
+    seen = seen.join(flagged.hint("merge"), "_page")
     current = seen.where(~V.has(F.col("_flags"), V.DELETED | V.CHAIN | V.FRAGMENT | V.BLOB) & F.col("_whole"))
     fresh = current.where((F.col("_txn") > watermark) & F.col("changed"))
     upserts = (V.winners(fresh.select("_txn", "_page", "_slot", *columns), key, ["_txn", "_page", "_slot"]) if tracked else fresh).select(*columns)
     stubs = seen.where(V.has(F.col("_flags"), V.DELETED) & (F.col("_txn") > watermark))
     now = None
     if tracked:
-        now = current.select(F.col("_page").alias("page"), *key).join(now_pages, "page", "left_semi").distinct()
+        now = current.select(F.col("_page").alias("page"), *key).join(now_pages.hint("merge"), "page", "left_semi").distinct()
         if resolved:
             found, unresolved = stubs.where("_whole").select(*key), stubs.where("NOT _whole").select("_txn")
         else:
             found, unresolved = V.resolve_stubs(stubs, versions, key)
         # a key that was deleted and stored again, or has moved, is no delete
-        gone = found.distinct().join(now.select(*key).distinct(), key, "left_anti").select(*key, F.lit("stub").alias("reason"))
+        gone = found.distinct().join(now.select(*key).distinct().hint("merge"), key, "left_anti").select(*key, F.lit("stub").alias("reason"))
         if keys is not None:
-            suspects = keys.join(touched, "page", "left_semi").select(*key).distinct().join(alive_keys(now, keys, touched, key), key, "left_anti")
-            gone = gone.unionByName(suspects.select(*key, F.lit("vanished").alias("reason")))
+            suspects = keys.join(touched.hint("merge"), "page", "left_semi").select(*key).distinct().join(alive_keys(now, keys, touched, key).hint("merge"), key, "left_anti")
+            vanished = suspects.select(*key, F.lit("vanished").alias("vanished"))
+            gone = gone.join(vanished.hint("merge"), key, "full").select(*key, F.coalesce("reason", "vanished").alias("reason"))
         deletes = gone.groupBy(*key).agg(F.min("reason").alias("reason")).select(*key, "reason")
     else:
         deletes = versions.sparkSession.createDataFrame([], "reason string")

@@ -35,7 +35,8 @@ class Customers:
     """The file in a folder that tasks share, and a feed of it into a table.
 
     Pages of keys get successive numbers, whatever lies between the keys; tasks
-    encode them and write them to their places, so the driver holds pointers only.
+    encode them and write them to their places, so the driver holds pointers only:
+    the planner, which goes by a file's compressed bytes, may broadcast no side of a join.
     """
 
     def __init__(self, spark: SparkSession, d: str):
@@ -68,7 +69,7 @@ class Customers:
             starts.append((part, n + FIRST_PAGE))
             n += count
         place = F.row_number().over(Window.partitionBy("part").orderBy("page")) - 1
-        return pages.join(self.spark.createDataFrame(starts, "part int, start long"), "part").select("page", (F.col("start") + place).alias("number")), n
+        return pages.join(F.broadcast(self.spark.createDataFrame(starts, "part int, start long")), "part").select("page", (F.col("start") + place).alias("number")), n
 
     def _put(self, rows: DataFrame, txn: int) -> None:
         """Pages as a transaction leaves them."""
@@ -79,7 +80,7 @@ class Customers:
             pages = ((number, data_page(SIZE, _slots(txn, number, [r[1:] for r in held]), txn)) for number, held in groupby(each, itemgetter(0)))
             yield pa.record_batch({"pages": pa.array([put_pages(path, pages)], pa.int64())})
 
-        placed = rows.join(self.numbers, "page").select("number", "c_custkey", "c_name", "c_nationkey", "c_acctbal")
+        placed = rows.join(self.numbers.hint("merge"), "page").select("number", "c_custkey", "c_name", "c_nationkey", "c_acctbal")
         placed.repartitionByRange("number").sortWithinPartitions("number", "c_custkey").mapInArrow(put, "pages long").agg(F.sum("pages")).collect()
 
     def write(self, generation: int, second: bool = False) -> None:
@@ -149,7 +150,7 @@ def snapshot_advance(spark: SparkSession, d: str) -> DataFrame:
     """The keys that the state remembers by page, after both transactions."""
     c = _after(spark, d)
     keys = c.state.load("customer").keys.select(F.col("page").alias("number"), F.col("custkey").alias("pk"))
-    return keys.join(c.numbers, "number", "left").select("page", "pk")
+    return keys.join(c.numbers.hint("merge"), "number", "left").select("page", "pk")
 
 
 def paged_feed(spark: SparkSession, d: str) -> DataFrame:

@@ -119,3 +119,54 @@ def test_a_feed_that_fails_fails_its_query(spark, spread, name, monkeypatch):
     monkeypatch.setattr(TableSink, "apply", broken)
     with pytest.raises(OSError, match="no room"):
         QUERIES[name](spark, spread[0]).collect()
+
+
+def test_feeds_do_not_broadcast_their_rows(spark, tmp_path):
+    """20,000 customers are 300 kB in their file and over 2 MB in a hash table, which the driver of a small heap has no room for; only a row for each task may go there."""
+    duckdb = pytest.importorskip("duckdb")
+    duckdb.sql(f"COPY (SELECT k AS c_custkey, 'Customer#' || k AS c_name, CAST(k % 25 AS INTEGER) AS c_nationkey, k / 4 AS c_acctbal FROM range(20000) a(k)) TO '{tmp_path}/customer.parquet'")
+    c = duckdb.connect()
+    c.execute(f"CREATE VIEW customer AS SELECT * FROM '{tmp_path}/customer.parquet'")
+    most = "spark.sql.maxBroadcastTableSize"
+    spark.conf.set(most, "1500k")
+    try:
+        same(spark, c, lambda s, _: QUERIES["snapshot_advance"](s, str(tmp_path)), SQL["snapshot_advance"])
+    finally:
+        spark.conf.unset(most)
+
+
+def _scan(spark, read=lambda name, df: df):
+    """One row on a page that changed, and a page that is gone."""
+    from stratamend.operators import changes
+
+    versions = read("versions", spark.createDataFrame([(1, 2, 0, 1, 0, 1, 0, 0, True, 7)], "_page long, _gen long, _slot int, _txn long, _flags int, _fmt int, _back_page long, _back_line int, _whole boolean, k long"))
+    pages = read("pages", spark.createDataFrame([(1, 2), (3, 1)], "page long, gen long"))
+    known = read("known", spark.createDataFrame([(1, 1), (2, 1), (3, 1)], "page long, gen long"))
+    keys = read("keys", spark.createDataFrame([(1, 7), (2, 8), (3, 9)], "page long, k long"))
+    return changes.scan(versions, ["k"], 0, known, keys, pages=pages, resolved=True)
+
+
+def test_scans_broadcast_nothing(spark, tmp_path):
+    """No side of a scan's joins goes to the driver, however small its files look."""
+
+    def read(name, df):
+        df.write.parquet(f"{tmp_path}/{name}")
+        return spark.read.parquet(f"{tmp_path}/{name}")
+
+    found = _scan(spark, read)
+    for df in (found.upserts, found.deletes, found.touched, found.page_gens, found.keys):
+        assert "BroadcastHashJoin" not in df._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("adaptive", ["true", "false"])
+def test_scans_whose_joins_are_merge_joins(spark, adaptive):
+    """Joins with the pages that changed or left fit these pages' partitions, adaptive execution or not."""
+    name = "spark.sql.adaptive.enabled"
+    was = spark.conf.get(name)
+    spark.conf.set(name, adaptive)
+    try:
+        found = _scan(spark)
+        got = [sorted(map(tuple, df.collect())) for df in (found.upserts, found.deletes, found.touched, found.page_gens, found.keys)]
+    finally:
+        spark.conf.set(name, was)
+    assert got == [[(7,)], [(8, "vanished")], [(1,), (2,)], [(1, 2)], [(1, 7)]]
